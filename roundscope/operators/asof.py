@@ -13,6 +13,32 @@ from ..functions.text import whole
 ARRAY_LIMIT = 512
 
 
+def _spans(intervals: DataFrame, by: list[str], start: str, end: str | None, payload: list[str]) -> DataFrame:
+    """One row per key and start."""
+    bounds = [F.col(start).alias("_from"), *payload, (F.col(end) if end else F.lit(None)).alias("_to")]
+    return (
+        intervals.select(*by, *bounds)
+        .withColumns({"_from": whole("_from"), "_to": whole("_to")})
+        .dropna(subset=["_from", *by])
+        .groupBy(*by, "_from")
+        .agg(F.min(F.struct(*payload, "_to")).alias("_hit"))
+        .select(*by, "_from", F.struct("_from", "_hit.*").alias("_hit"))
+    )
+
+
+def slice_width(intervals: DataFrame, by: Sequence[str], start: str, array_limit: int = ARRAY_LIMIT) -> int:
+    """Width of the time slices for these intervals, 0 where no key has too many for an array.
+
+    A single row with the busiest key's count and span comes to the driver.
+    """
+    starts = intervals.select(*by, whole(start).alias("_from")).dropna()
+    per_key = starts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_from").alias("lo"), F.max("_from").alias("hi"))
+    top = per_key.agg(F.max(F.struct("n", "lo", "hi")).alias("top")).first()["top"]
+    if top is None or top["n"] <= array_limit:
+        return 0
+    return max(1, (top["hi"] - top["lo"]) * array_limit // top["n"])
+
+
 def asof_backward(
     events: DataFrame,
     intervals: DataFrame,
@@ -21,34 +47,21 @@ def asof_backward(
     start: str,
     end: str | None = None,
     payload: Sequence[str] = ("round",),
-    array_limit: int = ARRAY_LIMIT,
+    width: int | None = None,
 ) -> DataFrame:
     """Events with the payload of the interval they fall in.
 
     An event at the start belongs to the interval; one past a known end is dropped; one before
     the first start keeps a NULL payload; one without a time is dropped. Of intervals with the
-    same start the one with the least payload counts.
+    same start the one with the least payload counts. ``width`` is the result of ``slice_width`` where the
+    caller has it already.
     """
     by, payload = list(by), list(payload)
-    bounds = [F.col(start).alias("_from"), *payload, (F.col(end) if end else F.lit(None)).alias("_to")]
-    spans = (
-        intervals.select(*by, *bounds)
-        .withColumns({"_from": whole("_from"), "_to": whole("_to")})
-        .dropna(subset=["_from", *by])
-        .groupBy(*by, "_from")
-        .agg(F.min(F.struct(*payload, "_to")).alias("_hit"))
-        .select(*by, "_from", F.struct("_from", "_hit.*").alias("_hit"))
-    )
+    spans = _spans(intervals, by, start, end, payload)
     timed = events.withColumn("_time", whole(event_time)).filter(F.col("_time").isNotNull())
-
-    # One number decides the plan: how many intervals the busiest key has.
-    per_key = spans.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_from").alias("lo"), F.max("_from").alias("hi"))
-    probe = per_key.agg(F.max(F.struct("n", "lo", "hi")).alias("top")).first()["top"]
-    if probe is None or probe["n"] <= array_limit:
-        matched = _by_array(timed, spans, by)
-    else:
-        width = max(1, (probe["hi"] - probe["lo"]) * array_limit // probe["n"])
-        matched = _by_slices(timed, spans, by, width)
+    if width is None:
+        width = slice_width(intervals, by, start)
+    matched = _by_slices(timed, spans, by, width) if width else _by_array(timed, spans, by)
 
     inside = F.col("_hit._to").isNull() | (F.col("_time") <= F.col("_hit._to"))
     return matched.filter(inside).select(*events.columns, *[F.col(f"_hit.{p}").alias(p) for p in payload])

@@ -11,6 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import number, whole
+
 
 def first_value(c: str, *order) -> Column:
     """First non-null value by order; the least value where the order ties."""
@@ -93,10 +95,10 @@ def trajectory_summary(df: DataFrame, scope: Sequence[str] = (), names=TRAJECTOR
     chosen = [F.col(c) for c in scope]
     for target, source in columns.items():
         if target == "tick":
-            chosen.append(F.col(source).try_cast("double").alias("tick"))
+            chosen.append(whole(source).alias("tick"))
         elif target in ("x", "y", "z"):
             if source:
-                chosen.append(F.col(source).try_cast("double").alias(target))
+                chosen.append(number(source).alias(target))
         elif target == "event":
             if source:
                 chosen.append(F.lower(F.col(source).cast("string")).alias("event"))

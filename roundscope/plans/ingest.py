@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.items import inventory_json
 from ..functions.text import BOMB_EVENTS, TEAM_OF_NUMBER, event_label, flag, lookup, stable_id
 from ..operators import columns as cols
-from ..operators.asof import attach_round, relative_time
+from ..operators.asof import attach_round, relative_time, slice_width
 from ..operators.snapshots import first_per_group, keep_first, snapshot_after, trajectory_summary
 from ..schemas import K2
 from ..sources.bundles import INGEST_TICKRATE
@@ -59,6 +59,15 @@ class Scope:
     def __init__(self, header: DataFrame):
         self.keys = [c for c in K2 if c in header.columns]
         self.header = header
+        self._width: int | None = None
+
+    def attach(self, events: DataFrame, rounds: DataFrame) -> DataFrame:
+        """Give events their round by tick; the rounds are measured once for all tables."""
+        if "round" in events.columns or "start" not in rounds.columns:
+            return events
+        if self._width is None:
+            self._width = slice_width(rounds, self.keys, "start")
+        return attach_round(events, rounds, self.keys, width=self._width)
 
     def keep(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return cols.keep(df, [*self.keys, *columns])
@@ -117,7 +126,7 @@ def round_loadouts(ticks: DataFrame, rounds: DataFrame, scope: Scope) -> DataFra
 
 def kills_slim(kills: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
     named = cols.resolve(kills, KILL_NAMES)
-    placed = cols.coordinates(attach_round(named, rounds, scope.keys))
+    placed = cols.coordinates(scope.attach(named, rounds))
     if "headshot" in placed.columns:
         placed = placed.withColumn("headshot", flag("headshot"))
     return scope.stamp(scope.keep(placed, KILL_COLUMNS))
@@ -125,12 +134,12 @@ def kills_slim(kills: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
 
 def damages_slim(damages: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
     named = cols.resolve(damages, ROUND)
-    return scope.stamp(scope.keep(attach_round(named, rounds, scope.keys), DAMAGE_COLUMNS))
+    return scope.stamp(scope.keep(scope.attach(named, rounds), DAMAGE_COLUMNS))
 
 
 def shots_slim(shots: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
     named = cols.resolve(shots, ROUND)
-    return scope.stamp(scope.keep(attach_round(named, rounds, scope.keys), SHOT_COLUMNS))
+    return scope.stamp(scope.keep(scope.attach(named, rounds), SHOT_COLUMNS))
 
 
 def _part(df: DataFrame, column: str) -> Column:
@@ -163,7 +172,7 @@ def events_bomb(bomb: DataFrame, rounds: DataFrame, scope: Scope, keep_explode:
     event = F.col(found["event"]).cast("string") if found["event"] else F.lit("")
     label = event_label(event, BOMB_EVENTS, skip=() if keep_explode else ("explode",))
     labelled = named.withColumn("_event", label).filter(F.col("_event").isNotNull())
-    placed = attach_round(labelled, rounds, scope.keys)
+    placed = scope.attach(labelled, rounds)
     chosen = [F.col(c) for c in (*scope.keys, "round", "tick") if c in placed.columns]
     chosen += [F.col(found[t]).alias(t) for t in ("site", "playerSteamID", "playerName") if found[t]]
     out = scope.stamp(placed.select(*chosen, F.col("_event").alias("event")))
@@ -219,39 +228,50 @@ def events_grenades(grenades: DataFrame, scope: Scope) -> DataFrame:
     return scope.stamp(keep_first(slim, key, [c for c in ("tick",) if c in slim.columns]))
 
 
-def ingest(bundle: Mapping[str, DataFrame], header: DataFrame) -> dict[str, DataFrame]:
-    """All tables that can be made from the decoded tables of one or many sources.
+def ingest(
+    bundle: Mapping[str, DataFrame], header: DataFrame, tables: Sequence[str] | None = None
+) -> dict[str, DataFrame]:
+    """The tables (all, or those named) that the decoded tables of one or many sources give.
 
     Every decoded table carries ``demo_file`` (and ``match_id`` for many matches); ``header`` has one
     row per source with ``map_name`` and ``tickrate``. Absent decoded tables yield no table.
     """
     scope = Scope(header)
-    present = {name: df for name, df in bundle.items() if df is not None and df.columns}
-    if "rounds" not in present:
+    found = {name: df for name, df in bundle.items() if df is not None and df.columns}
+    if "rounds" not in found:
         raise ValueError("a bundle needs its rounds")
-    out: dict[str, DataFrame] = {"header": header}
-    base = out["rounds"] = rounds(present["rounds"], scope)
-    if "ticks" in present:
-        loadouts = round_loadouts(present["ticks"], base, scope)
-        if loadouts is not None:
-            out["round_loadouts"] = loadouts
-    if "kills" in present:
-        out["kills_slim"] = kills_slim(present["kills"], base, scope)
-    if "damages" in present:
-        out["damages_slim"] = damages_slim(present["damages"], base, scope)
-    if "shots" in present:
-        out["shots_slim"] = shots_slim(present["shots"], base, scope)
-        out["events_shots"] = events_shots(out["shots_slim"], base, scope)
-    if "bomb" in present:
-        out["bomb"] = out["events_bomb"] = events_bomb(present["bomb"], base, scope)
-    if "players" in present:
-        out["players_slim"] = players_slim(present["players"], scope)
-    if "grenades" in present:
-        thrown = projectiles(present["grenades"])
-        out["grenades_summary"] = grenades_summary(thrown, scope)
-        out["events_grenades"] = events_grenades(thrown, scope)
-    if "chat" in present:
-        out["chat"] = chat_slim(present["chat"], scope)
+    base = rounds(found["rounds"], scope)
+
+    def thrown() -> DataFrame:
+        return projectiles(found["grenades"])
+
+    def shots() -> DataFrame:
+        return shots_slim(found["shots"], base, scope)
+
+    def bomb() -> DataFrame:
+        return events_bomb(found["bomb"], base, scope)
+
+    makers: dict[str, tuple[str, Callable[[], DataFrame | None]]] = {
+        "header": ("rounds", lambda: header),
+        "rounds": ("rounds", lambda: base),
+        "round_loadouts": ("ticks", lambda: round_loadouts(found["ticks"], base, scope)),
+        "kills_slim": ("kills", lambda: kills_slim(found["kills"], base, scope)),
+        "damages_slim": ("damages", lambda: damages_slim(found["damages"], base, scope)),
+        "shots_slim": ("shots", shots),
+        "events_shots": ("shots", lambda: events_shots(shots(), base, scope)),
+        "bomb": ("bomb", bomb),
+        "events_bomb": ("bomb", bomb),
+        "players_slim": ("players", lambda: players_slim(found["players"], scope)),
+        "grenades_summary": ("grenades", lambda: grenades_summary(thrown(), scope)),
+        "events_grenades": ("grenades", lambda: events_grenades(thrown(), scope)),
+        "chat": ("chat", lambda: chat_slim(found["chat"], scope)),
+    }
+    out = {}
+    for name in tables or makers:
+        source, make = makers[name]
+        df = make() if source in found else None
+        if df is not None:
+            out[name] = df
     return out
 
 

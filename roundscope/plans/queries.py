@@ -15,7 +15,7 @@ from ..operators import contingency as ct
 from ..operators import distribution as dist
 from ..operators import loadout as lo
 from ..operators import snapshots as snap
-from ..operators.asof import asof_backward, attach_round, relative_time
+from ..operators.asof import asof_backward, attach_round, relative_time, slice_width
 from ..operators.first_event import first_with_ties, next_opposite
 from ..operators.spearman import spearman_matrix
 from ..schemas import WAREHOUSE
@@ -349,8 +349,9 @@ def asof_rounds(spark, d):
 def asof_rounds_sliced(spark, d):
     """The same through time slices, as keys with very many intervals take it."""
     events, rounds = b.timed_events(spark, d), b.signup_rounds(spark, d)
+    width = slice_width(rounds, ["user_id"], "start", array_limit=2)
     found = asof_backward(
-        events.select("event_id", "user_id", "tick"), rounds, ["user_id"], "tick", "start", "end", array_limit=2
+        events.select("event_id", "user_id", "tick"), rounds, ["user_id"], "tick", "start", "end", width=width
     )
     return rounded(found)
 
@@ -414,7 +415,7 @@ def normalize_events(spark, d):
         tx.lookup(F.col("user_id") % 4, tx.TEAM_OF_NUMBER).alias("team"),
         tx.flag(F.col("value") > 20).alias("big"),
         tx.is_true(F.nullif("event_type", F.lit("view")).contains("ic")).cast("int").alias("has_ic"),
-        F.try_divide(F.col("value"), F.nullif(F.col("user_id"), F.lit(7)).cast("double")).alias("per_user"),
+        F.floor(F.try_divide(F.col("value"), F.nullif(F.col("user_id"), F.lit(7)).cast("double"))).alias("per_user"),
     )
     return rounded(out.filter(F.col("event").isNotNull()))
 
@@ -575,7 +576,7 @@ def merge_new_rows(spark, d):
 
 
 def _ingested(spark, d, name: str) -> DataFrame:
-    return ing.ingest(b.demo_bundle(spark, d), b.demo_header(spark, d))[name]
+    return ing.ingest(b.demo_bundle(spark, d), b.demo_header(spark, d), [name])[name]
 
 
 @query
