@@ -66,9 +66,8 @@ def inventory_json(c, is_array: bool = False) -> Column:
 
 
 def items(c) -> Column:
-    """Lower-cased elements of an inventory text; an unreadable text has none."""
-    parsed = F.coalesce(_json_list(_col(c)), F.array().cast(_STRINGS))
-    return F.transform(F.filter(parsed, lambda x: x.isNotNull()), F.lower)
+    """Lower-cased elements of an inventory text, NULL for those that are; an unreadable text has none."""
+    return F.transform(F.coalesce(_json_list(_col(c)), F.array().cast(_STRINGS)), F.lower)
 
 
 def _matcher(tokens: Sequence[str]) -> str:
@@ -78,7 +77,9 @@ def _matcher(tokens: Sequence[str]) -> str:
 def any_of(tokens: Sequence[str], item_list: Column) -> Column:
     """Whether some element contains one of the tokens."""
     pattern = _matcher(tokens)
-    return F.exists(item_list, lambda x: x.rlike(pattern)) if tokens else F.lit(False)
+    if not tokens:
+        return F.lit(False)
+    return F.exists(item_list, lambda x: F.coalesce(x.rlike(pattern), F.lit(False)))
 
 
 def count_of(tokens: Sequence[str], item_list: Column) -> Column:

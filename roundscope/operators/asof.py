@@ -3,40 +3,31 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import whole
+from ..functions.text import number, whole
+from ..session import broadcast_within
+from .distribution import prefix_counts
 
-# Up to this many intervals of one key are looked up in an array; more are swept in slices.
-ARRAY_LIMIT = 512
+# Intervals searched in one array; a key with more gets arrays of arrays.
+ARRAY_LIMIT = 128
 
 
-def _spans(intervals: DataFrame, by: list[str], start: str, end: str | None, payload: list[str]) -> DataFrame:
-    """One row per key and start."""
-    bounds = [F.col(start).alias("_from"), *payload, (F.col(end) if end else F.lit(None)).alias("_to")]
-    return (
-        intervals.select(*by, *bounds)
-        .withColumns({"_from": whole("_from"), "_to": whole("_to")})
-        .dropna(subset=["_from", *by])
-        .groupBy(*by, "_from")
-        .agg(F.min(F.struct(*payload, "_to")).alias("_hit"))
-        .select(*by, "_from", F.struct("_from", "_hit.*").alias("_hit"))
-    )
+class IntervalSize(NamedTuple):
+    """Rows of an interval table and those of its busiest key."""
 
+    rows: int
+    busiest: int
 
-def slice_width(intervals: DataFrame, by: Sequence[str], start: str, array_limit: int = ARRAY_LIMIT) -> int:
-    """Width of the time slices for these intervals, 0 where no key has too many for an array.
 
-    A single row with the busiest key's count and span comes to the driver.
-    """
-    starts = intervals.select(*by, whole(start).alias("_from")).dropna()
-    per_key = starts.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.min("_from").alias("lo"), F.max("_from").alias("hi"))
-    top = per_key.agg(F.max(F.struct("n", "lo", "hi")).alias("top")).first()["top"]
-    if top is None or top["n"] <= array_limit:
-        return 0
-    return max(1, (top["hi"] - top["lo"]) * array_limit // top["n"])
+def measure(intervals: DataFrame, by: Sequence[str], start: str) -> IntervalSize:
+    """Count an interval table: one row comes to the driver and decides how it is searched."""
+    starts = intervals.filter(F.col(start).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    top = starts.agg(F.sum("n").alias("rows"), F.max("n").alias("busiest")).first()
+    return IntervalSize(top["rows"] or 0, top["busiest"] or 0)
 
 
 def asof_backward(
@@ -47,79 +38,71 @@ def asof_backward(
     start: str,
     end: str | None = None,
     payload: Sequence[str] = ("round",),
-    width: int | None = None,
+    size: IntervalSize | None = None,
+    array_limit: int = ARRAY_LIMIT,
 ) -> DataFrame:
     """Events with the payload of the interval they fall in.
 
     An event at the start belongs to the interval; one past a known end is dropped; one before
     the first start keeps a NULL payload; one without a time is dropped. Of intervals with the
-    same start the one with the least payload counts. ``width`` is the result of ``slice_width`` where the
-    caller has it already.
+    same start the one with the least payload counts. ``size`` is the result of ``measure`` where
+    the caller has it already.
+
+    Events are only ever joined to a side with one row per join key, so the join never multiplies
+    rows, and Spark may broadcast that side or split a key with very many events.
     """
+    if array_limit < 2:
+        raise ValueError("a block holds at least two intervals")
     by, payload = list(by), list(payload)
-    spans = _spans(intervals, by, start, end, payload)
+    size = size or measure(intervals, by, start)
+    bounds = [F.col(start).alias("_from"), *payload, (F.col(end) if end else F.lit(None)).alias("_to")]
+    spans = (
+        intervals.select(*by, *bounds)
+        .withColumns({"_from": whole("_from"), "_to": whole("_to")})
+        .dropna(subset=["_from", *by])
+        .groupBy(*by, "_from")
+        .agg(F.min(F.struct(*payload, "_to")).alias("_hit"))
+        .select(*by, "_from", F.struct("_from", "_hit.*").alias("_hit"))
+    )
     timed = events.withColumn("_time", whole(event_time)).filter(F.col("_time").isNotNull())
-    if width is None:
-        width = slice_width(intervals, by, start)
-    matched = _by_slices(timed, spans, by, width) if width else _by_array(timed, spans, by)
-
+    matched = _last_started(timed, spans, by, size, array_limit)
     inside = F.col("_hit._to").isNull() | (F.col("_time") <= F.col("_hit._to"))
     return matched.filter(inside).select(*events.columns, *[F.col(f"_hit.{p}").alias(p) for p in payload])
 
 
-def _by_array(timed: DataFrame, spans: DataFrame, by: list[str]) -> DataFrame:
-    """Join each event to the sorted interval array of its key: one row per key on that side, so
-    the join never multiplies rows, and broadcast, sort-merge and skew splitting stay with AQE."""
-    arrays = spans.groupBy(*by).agg(F.array_sort(F.collect_list("_hit")).alias("_spans"))
-    started = F.filter("_spans", lambda s: s["_from"] <= F.col("_time"))
-    return timed.join(arrays, by, "left").withColumn("_hit", F.try_element_at(started, F.lit(-1)))
-
-
-def _by_slices(timed: DataFrame, spans: DataFrame, by: list[str], width: int) -> DataFrame:
-    """Sweep each (key, time slice) on its own, so that a key with very many rows is split.
+def _last_started(
+    timed: DataFrame, spans: DataFrame, by: list[str], size: IntervalSize, limit: int, level: int = 0
+) -> DataFrame:
+    """Add ``_hit`` of the last span with ``_from`` at or before ``_time``.
 
-    The last interval of earlier slices is carried into each slice; that running step sees one
-    row per slice, not per event.
+    The spans of a key are cut into blocks of ``limit``. If a key has several blocks, the block of an
+    event is found first, by the same search among the starts of the blocks.
     """
-    timed = timed.withColumn("_slice", F.floor(F.col("_time") / width))
-    spans = spans.withColumn("_slice", F.floor(F.col("_from") / width))
-    group = [*by, "_slice"]
-
-    last_in_slice = spans.groupBy(*group).agg(F.max("_hit").alias("_hit"), F.lit(0).alias("_used"))
-    used = timed.groupBy(*group).agg(F.lit(None).alias("_hit"), F.lit(1).alias("_used"))
-    slices = last_in_slice.unionByName(used).groupBy(*group).agg(F.max("_hit").alias("_hit"), F.max("_used").alias("_used"))
-    earlier = Window.partitionBy(*by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = slices.withColumn("_hit", F.last("_hit", ignorenulls=True).over(earlier)).filter(
-        (F.col("_used") == 1) & F.col("_hit").isNotNull()
-    )
-
-    row = F.struct(*[c for c in timed.columns if c != "_slice"])
-    stream = (
-        timed.select(*group, F.col("_time").alias("_at"), F.lit(1).alias("_tag"), row.alias("_row"))
-        .unionByName(
-            spans.select(*group, F.col("_from").alias("_at"), F.lit(0).alias("_tag"), "_hit"), allowMissingColumns=True
-        )
-        .unionByName(
-            carried.select(*group, F.col("_hit._from").alias("_at"), F.lit(0).alias("_tag"), "_hit"),
-            allowMissingColumns=True,
-        )
-    )
-    sweep = Window.partitionBy(*group).orderBy("_at", "_tag").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        stream.withColumn("_hit", F.last("_hit", ignorenulls=True).over(sweep))
-        .filter(F.col("_tag") == 1)
-        .select("_row.*", "_hit")
-    )
+    keys = by
+    if size.busiest > limit:
+        block = f"_block{level}"
+        ranked = prefix_counts(spans.withColumn("_one", F.lit(1)), "_from", by, ["_one"])
+        spans = ranked.withColumn(block, F.floor(F.col("_one_below") / limit)).select(*by, block, "_from", "_hit")
+        blocks = spans.groupBy(*by, block).agg(F.min("_from").alias("_from"))
+        blocks = blocks.select(*by, "_from", F.struct("_from", block).alias("_hit"))
+        fewer = IntervalSize(-(-size.rows // limit), -(-size.busiest // limit))
+        timed = _last_started(timed, blocks, by, fewer, limit, level + 1)
+        timed = timed.withColumn(block, F.col(f"_hit.{block}")).drop("_hit")
+        keys = [*by, block]
+    arrays = spans.groupBy(*keys).agg(F.array_sort(F.collect_list("_hit")).alias("_spans"))
+    started = F.filter("_spans", lambda s: s["_from"] <= F.col("_time"))
+    joined = timed.join(broadcast_within(arrays, size.rows), keys, "left")
+    return joined.withColumn("_hit", F.try_element_at(started, F.lit(-1))).drop("_spans", *keys[len(by):])
 
 
 def attach_round(
-    events: DataFrame, rounds: DataFrame, by: Sequence[str], tick: str = "tick", **options
+    events: DataFrame, rounds: DataFrame, by: Sequence[str], tick: str = "tick", size: IntervalSize | None = None
 ) -> DataFrame:
     """Give events their round by tick; unchanged when they have one or a needed column is absent."""
     if "round" in events.columns or tick not in events.columns or "start" not in rounds.columns:
         return events
     end = "end" if "end" in rounds.columns else None
-    return asof_backward(events, rounds, by, tick, "start", end, ("round",), **options)
+    return asof_backward(events, rounds, by, tick, "start", end, ("round",), size)
 
 
 def relative_time(
@@ -129,20 +112,19 @@ def relative_time(
     tick: str = "tick",
     start: str = "start",
     tickrate="tickrate",
+    size: IntervalSize | None = None,
 ) -> DataFrame:
     """Add t_round (ticks since the round began) and t_sec; NULL for events without a round.
 
-    ``rounds`` holds one row per ``by``; AQE broadcasts it when it is small.
+    ``rounds`` holds one row per ``by``; ``size`` tells whether it may be broadcast.
     """
     begin = rounds.select(*by, F.col(start).alias("_start"))
+    if size:
+        begin = broadcast_within(begin, size.rows)
     rate = F.col(tickrate) if isinstance(tickrate, str) else F.lit(float(tickrate))
     return (
         events.join(begin, list(by), "left")
-        .withColumn("t_round", number_of(tick) - number_of("_start"))
+        .withColumn("t_round", number(tick) - number("_start"))
         .withColumn("t_sec", F.try_divide(F.col("t_round"), rate))
         .drop("_start")
     )
-
-
-def number_of(c: str):
-    return F.col(c).try_cast("double")

@@ -41,7 +41,7 @@ def counts(df: DataFrame, row: str, col: str) -> DataFrame:
 
 def with_margins(df: DataFrame, row: str, col: str) -> DataFrame:
     """Long crosstab with row, column and grand totals; a total has NULL in place of the value."""
-    return df.dropna(subset=[row, col]).cube(row, col).agg(F.count(F.lit(1)).alias("n"))
+    return counts(df, row, col).cube(row, col).agg(F.sum("n").alias("n"))
 
 
 def row_pct(df: DataFrame, row: str, col: str, digits: int = 2) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tails
-from ..session import materialize
+from ..session import stored
 from .columns import null_safe_join
 
 # Distinct values one task may order; above it the values are cut into ranges.
@@ -50,7 +50,7 @@ def prefix_counts(
 ) -> DataFrame:
     """Add ``<c>_below`` (sum of c over smaller values of the stratum) and ``<c>_total``."""
     by, columns = list(by), list(columns)
-    kept = materialize(collapsed)
+    kept = stored(collapsed)
     distinct = kept.count()
     ranges = min(MAX_RANGES, math.ceil(distinct / rows_per_range))
     edges: list[float] = []
@@ -123,7 +123,7 @@ def summary(table: DataFrame, value: str, samples: Mapping[str, str], by: Sequen
     x = F.col(value)
     aggregates = []
     for s in samples.values():
-        aggregates += [F.sum(s).alias(f"{s}_n"), (F.sum(x * F.col(s)) / F.sum(s)).alias(f"{s}_mean")]
+        aggregates += [F.sum(s).alias(f"{s}_n"), F.try_divide(F.sum(x * F.col(s)), F.sum(s)).alias(f"{s}_mean")]
         aggregates += [quantile(value, s, q).alias(f"{s}_{name}") for name, q in QUARTILES.items()]
     middle = table.groupBy(*by).agg(*aggregates)
 
@@ -169,7 +169,7 @@ def mann_whitney(table: DataFrame, value: str, by: Sequence[str] = (), extra: Se
     a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
     n = a + b
     sd = F.sqrt(a * b / 12 * (n + 1 - F.col("_ties") / (n * (n - 1))))
-    # All values tied: no spread, no evidence.
+    # All values tied: no spread, no evidence, p = 1.
     sd = F.when(sd > 0, sd)
     larger = F.greatest(F.col("U"), a * b - F.col("U"))
     out = sums.withColumns(
@@ -180,8 +180,10 @@ def mann_whitney(table: DataFrame, value: str, by: Sequence[str] = (), extra: Se
             "rbc": 2 * F.col("U") / (a * b) - 1,
         }
     )
-    out = out.withColumns({"_two": tails.p_normal("_z_two"), "p_greater": tails.p_normal("_z_up")})
-    return out.withColumn("p_two", F.least(F.lit(1.0), 2 * F.col("_two"))).drop("_ties", "_z_two", "_z_up", "_two")
+    out = out.withColumns({"_two": tails.p_normal("_z_two"), "_up": tails.p_normal("_z_up")})
+    return out.withColumns(
+        {"p_greater": F.coalesce("_up", F.lit(1.0)), "p_two": F.least(F.lit(1.0), 2 * F.col("_two"))}
+    ).drop("_ties", "_z_two", "_z_up", "_two", "_up")
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:

@@ -40,7 +40,9 @@ def next_opposite(df: DataFrame, keys: Sequence[str], order: str, side: str) ->
     look are those where another side is tied with the first event.
     """
     keys = list(keys)
-    known = df.dropna(subset=keys).filter(F.col(order).isNotNull())
+    known = df
+    for c in (*keys, order):
+        known = known.filter(F.col(c).isNotNull())
     per_side = known.groupBy(*keys, side).agg(F.min(order).alias("_first"))
     rounds = Window.partitionBy(*keys)  # one row per side
     with_first = per_side.withColumns(

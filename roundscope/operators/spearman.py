@@ -9,19 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import finite
-from ..session import materialize
+from ..session import broadcast_within, stored
 from .distribution import ROWS_PER_RANGE, prefix_counts
 
 
 def _null_classes(df: DataFrame, features: Sequence[str]) -> list[int]:
     """For each feature the first feature that is missing in exactly the same rows."""
     pairs = list(combinations(range(len(features)), 2))
+    leader = list(range(len(features)))
     if not pairs:
-        return [0]
+        return leader
     apart = df.agg(
-        *[F.bool_or(F.col(features[i]).isNull() != F.col(features[j]).isNull()).alias(f"{i}_{j}") for i, j in pairs]
+        *[F.expr(f"bool_or((`{features[i]}` IS NULL) <> (`{features[j]}` IS NULL)) AS `{i}_{j}`") for i, j in pairs]
     ).first()
-    leader = list(range(len(features)))
     for i, j in pairs:
         if leader[j] == j and leader[i] == i and not apart[f"{i}_{j}"]:
             leader[j] = i
@@ -33,71 +33,62 @@ def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int
 
     The ranks of a feature depend on the partner only through the rows where the partner is missing,
     so each feature is ranked once per distinct pattern of missing values, not once per pair. Ranks
-    travel as twice the centred average rank, a whole number whose mean is zero.
+    are twice the centred average rank: whole numbers whose mean is zero. Sizes and variances follow
+    from the rank table alone; only the products need the rows, each of which looks its ranks up
+    feature by feature. No pair of features ever becomes a row.
     """
     features = list(features)
-    count = len(features)
-    numeric = df.select(*[(finite(f) + F.lit(0.0)).alias(f) for f in features])
-    distinct_rows = materialize(numeric.groupBy(*features).agg(F.count(F.lit(1)).alias("_w")))
+    rows = stored(df.select(*[(finite(f) + F.lit(0.0)).alias(f) for f in features]))
+    leader = _null_classes(rows, features)
+    slot = {m: k for k, m in enumerate(sorted(set(leader)))}
 
-    leader = _null_classes(distinct_rows, features)
-    classes = sorted(set(leader))
-    slot = {m: k for k, m in enumerate(classes)}
-
-    text = F.concat_ws("|", *[F.coalesce(F.col(f).cast("string"), F.lit("-")) for f in features])
-    known = [F.col(features[m]).isNotNull().alias(f"_k{slot[m]}") for m in classes]
     entries = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).alias("value")) for i, f in enumerate(features)])
-    points = (
-        distinct_rows.select(F.unhex(F.md5(text)).alias("_id"), "_w", *known, F.explode(entries).alias("e"))
-        .select("_id", "_w", *[f"_k{k}" for k in slot.values()], "e.f", "e.value")
-        .filter(F.col("value").isNotNull())
-    )
-
+    known = [F.col(features[m]).isNotNull().cast("int").alias(f"_k{k}") for m, k in slot.items()]
+    values = rows.select(*known, F.inline(entries)).filter(F.col("value").isNotNull())
     names = [f"_n{k}" for k in slot.values()]
-    per_value = points.groupBy("f", "value").agg(
-        *[F.sum(F.when(F.col(f"_k{k}"), F.col("_w")).otherwise(0)).alias(f"_n{k}") for k in slot.values()]
-    )
+    per_value = values.groupBy("f", "value").agg(*[F.sum(f"_k{k}").alias(f"_n{k}") for k in slot.values()])
     table = prefix_counts(per_value, "value", ["f"], names, rows_per_range)
-    centred = F.array(*[(2 * F.col(f"{n}_below") + F.col(n) - F.col(f"{n}_total")).cast("double") for n in names])
-    ranks = table.select("f", "value", centred.alias("_ranks"))
-
-    # At most one entry per feature.
-    per_row = (
-        points.select("_id", "_w", "f", "value")
-        .join(ranks, ["f", "value"])
-        .groupBy("_id", "_w")
-        .agg(F.map_from_entries(F.collect_list(F.struct("f", "_ranks"))).alias("r"))
+    centred = [(2 * F.col(f"{n}_below") + F.col(n) - F.col(f"{n}_total")).cast("double").alias(f"_c{n}") for n in names]
+    ranks = stored(table.select("f", "value", *names, *centred), ["f"])
+
+    # One row per feature, so a fixed number of rows comes to the driver.
+    spread = ranks.groupBy("f").agg(
+        F.count(F.lit(1)).alias("values"),
+        *[F.sum(n).alias(f"n{n}") for n in names],
+        *[F.sum(F.col(n) * F.col(f"_c{n}") * F.col(f"_c{n}")).alias(f"v{n}") for n in names],
     )
+    sizes = {r["f"]: r for r in spread.collect()}
 
-    def rank(i: int, partner: int):
-        return F.try_element_at(F.col("r"), F.lit(i))[slot[leader[partner]]]
+    def partner(j: int) -> str:
+        return names[slot[leader[j]]]
 
-    pairs = [(i, j) for i in range(count) for j in range(i, count)]
-    both = F.array(
-        *[
-            F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), rank(i, j).alias("x"), rank(j, i).alias("y"))
-            for i, j in pairs
-        ]
-    )
-    sums = (
-        per_row.select("_w", F.inline(both))
-        .filter(F.col("x").isNotNull() & F.col("y").isNotNull())
-        .groupBy("i", "j")
-        .agg(
-            F.sum("_w").alias("n"),
-            F.sum(F.col("_w") * F.col("x") * F.col("y")).alias("xy"),
-            F.sum(F.col("_w") * F.col("x") * F.col("x")).alias("xx"),
-            F.sum(F.col("_w") * F.col("y") * F.col("y")).alias("yy"),
-        )
-    )
-    rho = F.try_divide(F.col("xy"), F.sqrt("xx") * F.sqrt("yy"))
-    labels = F.array(*[F.lit(f) for f in features])
-    grid = df.sparkSession.range(len(pairs)).select(
-        F.element_at(F.array(*[F.lit(i) for i, _ in pairs]), (F.col("id") + 1).cast("int")).alias("i"),
-        F.element_at(F.array(*[F.lit(j) for _, j in pairs]), (F.col("id") + 1).cast("int")).alias("j"),
-    )
-    upper = grid.join(sums, ["i", "j"], "left").select(
-        labels[F.col("i")].alias("f1"), labels[F.col("j")].alias("f2"), rho.alias("rho"), F.coalesce("n", F.lit(0)).alias("n")
+    ranked = rows
+    for i, f in enumerate(features):
+        columns = [f"_c{n} AS _r{i}{n}" for n in names]
+        lookup = ranks.filter(F.col("f") == i).selectExpr(f"value AS `{f}`", *columns)
+        count = sizes[i]["values"] if i in sizes else 0
+        ranked = ranked.join(broadcast_within(lookup, count), f, "left")
+
+    pairs = list(combinations(range(len(features)), 2))
+    # A rank is NULL where its feature is, so a product counts only rows where both are known.
+    products = [F.expr(f"sum(_r{i}{partner(j)} * _r{j}{partner(i)}) AS _{i}_{j}") for i, j in pairs]
+    sums = ranked.agg(F.count(F.lit(1)), *products)
+
+    def cell(i: int, j: int) -> str:
+        """One cell of the matrix as SQL text."""
+        n = sizes[i][f"n{partner(j)}"] if i in sizes else 0
+        vi = sizes[i][f"v{partner(j)}"] if i in sizes else 0.0
+        vj = sizes[j][f"v{partner(i)}"] if j in sizes else 0.0
+        if not (n and vi and vj):
+            rho = "CAST(NULL AS DOUBLE)"
+        elif i == j:
+            rho = "1.0D"
+        else:
+            rho = f"_{min(i, j)}_{max(i, j)} / {vi**0.5 * vj**0.5!r}D"
+        return f"struct({i} AS i, {j} AS j, {rho} AS rho, {int(n or 0)}L AS n)"
+
+    grid = ", ".join(cell(i, j) for i in range(len(features)) for j in range(len(features)))
+    names_of = F.array(*[F.lit(f) for f in features])
+    return sums.select(F.expr(f"inline(array({grid}))")).select(
+        names_of[F.col("i")].alias("f1"), names_of[F.col("j")].alias("f2"), "rho", "n"
     )
-    lower = upper.filter(F.col("f1") != F.col("f2")).select(F.col("f2").alias("f1"), F.col("f1").alias("f2"), "rho", "n")
-    return upper.unionByName(lower)

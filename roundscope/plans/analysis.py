@@ -169,11 +169,18 @@ def flag_test(
 
     a, b: flag not set, outcome no and yes; c, d: flag set, outcome no and yes.
     """
-    left = events.select(*keys, F.coalesce(number(outcome), F.lit(0.0)).cast("int").alias("_outcome"))
-    right = holders.select(*keys, F.coalesce(number(flag), F.lit(0.0)).cast("int").alias("_flag"))
-    joined = null_safe_join(left, right, keys, "inner")
-    known = joined.filter(F.col("_flag").isin(0, 1) & F.col("_outcome").isin(0, 1))
-    table = ct.cells(known, F.col("_flag") == 0, F.col("_outcome") == 0)
+
+
+    def tally(df: DataFrame, column: str, name: str) -> DataFrame:
+        """One row per key: how often the column is 0 and 1. Repeated keys never form pairs."""
+        value = F.coalesce(number(column), F.lit(0.0)).cast("int")
+        return df.groupBy(*keys).agg(*[F.count_if(value == v).alias(f"{name}{v}") for v in (0, 1)])
+
+    joined = null_safe_join(tally(events, outcome, "_y"), tally(holders, flag, "_x"), keys, "inner")
+    pairs = {"a": (0, 0), "b": (0, 1), "c": (1, 0), "d": (1, 1)}
+    table = joined.agg(
+        *[F.coalesce(F.sum(F.col(f"_x{x}") * F.col(f"_y{y}")), F.lit(0)).alias(name) for name, (x, y) in pairs.items()]
+    )
     out = ct.with_tests(table, zero="floor1")
     n0, n1 = F.col("a") + F.col("b"), F.col("c") + F.col("d")
     without, with_flag = stats.wilson("b", n0), stats.wilson("d", n1)

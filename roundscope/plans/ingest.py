@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.items import inventory_json
 from ..functions.text import BOMB_EVENTS, TEAM_OF_NUMBER, event_label, flag, lookup, stable_id
 from ..operators import columns as cols
-from ..operators.asof import attach_round, relative_time, slice_width
+from ..operators.asof import IntervalSize, attach_round, measure, relative_time
 from ..operators.snapshots import first_per_group, keep_first, snapshot_after, trajectory_summary
 from ..schemas import K2
 from ..sources.bundles import INGEST_TICKRATE
@@ -59,15 +59,25 @@ class Scope:
     def __init__(self, header: DataFrame):
         self.keys = [c for c in K2 if c in header.columns]
         self.header = header
-        self._width: int | None = None
+        self._size: IntervalSize | None = None
+
+    def size(self, rounds: DataFrame) -> IntervalSize:
+        """The rounds counted, once for all tables."""
+        if self._size is None:
+            self._size = measure(rounds, self.keys, "start" if "start" in rounds.columns else "round")
+        return self._size
 
     def attach(self, events: DataFrame, rounds: DataFrame) -> DataFrame:
-        """Give events their round by tick; the rounds are measured once for all tables."""
+        """Give events their round by tick unless they have one."""
         if "round" in events.columns or "start" not in rounds.columns:
             return events
-        if self._width is None:
-            self._width = slice_width(rounds, self.keys, "start")
-        return attach_round(events, rounds, self.keys, width=self._width)
+        return attach_round(events, rounds, self.keys, size=self.size(rounds))
+
+    def time(self, events: DataFrame, rounds: DataFrame) -> DataFrame:
+        """Add the time since the start of the round."""
+        by = [*self.keys, "round"]
+        begin = keep_first(rounds.select(*by, "start"), by, ["start"])
+        return relative_time(self.rate(events), begin, by, size=self.size(rounds)).drop("tickrate")
 
     def keep(self, df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return cols.keep(df, [*self.keys, *columns])
@@ -109,7 +119,7 @@ def round_loadouts(ticks: DataFrame, rounds: DataFrame, scope: Scope) -> DataFra
     freeze = "freeze_end" if "freeze_end" in rounds.columns else "start"
     # A repeated round row must not repeat its players' rows.
     begin = keep_first(rounds.select(*by, freeze), by, [freeze])
-    after = snapshot_after(slim, begin, by, "tick", freeze)
+    after = snapshot_after(slim, begin, by, "tick", freeze, round_rows=scope.size(rounds).rows)
     first = first_per_group(after, [*by, "steamid"], ["tick"], state)
     live = first.filter(F.col("team_num").isin(list(TEAM_OF_NUMBER)))
     is_array = dict(live.dtypes)["inventory"].startswith("array")
@@ -155,8 +165,7 @@ def events_shots(slim: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
             break
         key.append(c)
     distinct = keep_first(slim.dropna(subset=["round", "tick"]), key)
-    begin = keep_first(rounds.select(*scope.keys, "round", "start"), [*scope.keys, "round"], ["start"])
-    timed = relative_time(scope.rate(distinct), begin, [*scope.keys, "round"])
+    timed = scope.time(distinct, rounds)
     named = timed.withColumn(
         "event_id",
         stable_id("demo_file", "round", "tick", _part(timed, "shooterSteamID"), _part(timed, "weapon")),
@@ -177,8 +186,7 @@ def events_bomb(bomb: DataFrame, rounds: DataFrame, scope: Scope, keep_explode:
     chosen += [F.col(found[t]).alias(t) for t in ("site", "playerSteamID", "playerName") if found[t]]
     out = scope.stamp(placed.select(*chosen, F.col("_event").alias("event")))
     if "tick" in out.columns:
-        begin = keep_first(rounds.select(*scope.keys, "round", "start"), [*scope.keys, "round"], ["start"])
-        out = relative_time(scope.rate(out), begin, [*scope.keys, "round"]).drop("tickrate")
+        out = scope.time(out, rounds)
     parts = ["tick", "site", "playerSteamID", "playerName", "event"]
     return out.withColumn("event_id", stable_id("demo_file", "round", *[_part(out, p) for p in parts]))
 

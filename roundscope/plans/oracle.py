@@ -479,7 +479,7 @@ attached AS (
   WHERE s.last IS NULL OR e.tick<=s.last
 )"""
 ORACLE["asof_rounds"] = f"WITH {SIGNUPS} SELECT event_id, user_id, tick, round FROM attached"
-ORACLE["asof_rounds_sliced"] = ORACLE["asof_rounds"]
+ORACLE["asof_rounds_blocked"] = ORACLE["asof_rounds"]
 ORACLE["relative_times"] = (
     f"WITH {SIGNUPS} SELECT event_id, round, (tick-start)::DOUBLE AS t_round, {r6(t_sec='(tick-start)/1e6')} FROM attached"
 )

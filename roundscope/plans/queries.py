@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,11 +14,11 @@ from ..operators import contingency as ct
 from ..operators import distribution as dist
 from ..operators import loadout as lo
 from ..operators import snapshots as snap
-from ..operators.asof import asof_backward, attach_round, relative_time, slice_width
+from ..operators.asof import asof_backward, attach_round, relative_time
 from ..operators.first_event import first_with_ties, next_opposite
 from ..operators.spearman import spearman_matrix
 from ..schemas import WAREHOUSE
-from ..session import shared_folder
+from ..session import new_folder
 from ..sources import bundles, feed, warehouse
 from ..streaming.ingest import ingest_stream
 from . import analysis as an
@@ -346,12 +345,11 @@ def asof_rounds(spark, d):
 
 
 @query
-def asof_rounds_sliced(spark, d):
-    """The same through time slices, as keys with very many intervals take it."""
+def asof_rounds_blocked(spark, d):
+    """The same through blocks of intervals, as keys with very many of them take it."""
     events, rounds = b.timed_events(spark, d), b.signup_rounds(spark, d)
-    width = slice_width(rounds, ["user_id"], "start", array_limit=2)
     found = asof_backward(
-        events.select("event_id", "user_id", "tick"), rounds, ["user_id"], "tick", "start", "end", width=width
+        events.select("event_id", "user_id", "tick"), rounds, ["user_id"], "tick", "start", "end", array_limit=4
     )
     return rounded(found)
 
@@ -614,7 +612,7 @@ def slim_tables(spark, d):
 @query
 def ingest_stream_merge(spark, d):
     """All events arrive as a stream and are merged into the bomb events of a warehouse, twice."""
-    root = f"{shared_folder(spark)}/{next(tempfile._get_candidate_names())}"
+    root = new_folder(spark, "stream")
     source = f"{d}/events.parquet"
     schema = spark.read.parquet(source).schema
 

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of a narrow table (tens of bytes each) that every executor may hold.
+BROADCAST_ROWS = 1_000_000
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -32,17 +38,30 @@ def shared_folder(spark: SparkSession) -> str:
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if configured:
-        return configured
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="roundscope-")
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder, so that later stages
-    neither recompute it nor depend on executors that may be lost."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        configured = tempfile.mkdtemp(prefix="roundscope-")
+        sc.setCheckpointDir(configured)
+    return configured
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Compute ``df`` once into a table in the shared folder and read it back.
+
+    Later passes read only the columns and partitions they need, see the true size, and do not
+    depend on executors that may be lost. The table stays until the folder is cleared.
+    """
+    path = new_folder(df.sparkSession, "stored")
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def broadcast_within(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a side for broadcast if its counted rows allow it; else Spark picks the join."""
+    return F.broadcast(df) if rows <= limit else df
