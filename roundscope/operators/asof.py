@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import number, whole
-from ..session import broadcast_within
+from ..session import broadcast_within, stored
 from .distribution import prefix_counts
 
 # Intervals searched in one array; a key with more gets arrays of arrays.
@@ -81,7 +81,7 @@ def _last_started(
     keys = by
     if size.busiest > limit:
         block = f"_block{level}"
-        ranked = prefix_counts(spans.withColumn("_one", F.lit(1)), "_from", by, ["_one"])
+        ranked = prefix_counts(stored(spans.withColumn("_one", F.lit(1))), "_from", by, ["_one"])
         spans = ranked.withColumn(block, F.floor(F.col("_one_below") / limit)).select(*by, block, "_from", "_hit")
         blocks = spans.groupBy(*by, block).agg(F.min("_from").alias("_from"))
         blocks = blocks.select(*by, "_from", F.struct("_from", block).alias("_hit"))

@@ -25,12 +25,15 @@ MAX_RANGES = 4096
 
 
 def collapse(df: DataFrame, value: str, by: Sequence[str], weights: Mapping[str, Column]) -> DataFrame:
-    """One row per stratum and distinct value with weight sums; NULL and NaN values are left out."""
-    known = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    # Adding zero turns -0.0 into 0.0, so that the two count as one value.
-    number = (F.col(value).cast("double") + F.lit(0.0)).alias(value)
+    """One row per stratum and distinct value with weight sums, kept in the shared folder.
+
+    NaN counts as missing; missing values form one row of their own. Adding zero turns -0.0 into
+    0.0, so that the two are one value.
+    """
+    number = F.col(value).cast("double") + F.lit(0.0)
+    number = F.when(~F.isnan(number), number).alias(value)
     sums = [F.sum(w.cast("bigint")).alias(name) for name, w in weights.items()]
-    return known.groupBy(*by, number).agg(*sums)
+    return stored(df.groupBy(*by, number).agg(*sums))
 
 
 def _range_of(edges: Sequence[float], value: str) -> Column:
@@ -46,11 +49,15 @@ def _range_of(edges: Sequence[float], value: str) -> Column:
 
 
 def prefix_counts(
-    collapsed: DataFrame, value: str, by: Sequence[str], columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
+    table: DataFrame, value: str, by: Sequence[str], columns: Sequence[str], rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Add ``<c>_below`` (sum of c over smaller values of the stratum) and ``<c>_total``."""
+    """Add ``<c>_below`` (sum of c over smaller values of the stratum) and ``<c>_total``.
+
+    ``table`` holds one row per stratum and value and is stored, as it is read several times; rows
+    without a value are left out.
+    """
     by, columns = list(by), list(columns)
-    kept = stored(collapsed)
+    kept = table.filter(F.col(value).isNotNull())
     distinct = kept.count()
     ranges = min(MAX_RANGES, math.ceil(distinct / rows_per_range))
     edges: list[float] = []
@@ -103,7 +110,7 @@ QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
 def quantiles(df: DataFrame, value: str, probabilities: Mapping[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles per stratum, one column per named probability, and the count n."""
+    """Exact quantiles per stratum, one column per named probability, with the count of known values."""
     table = prefix_counts(collapse(df, value, by, {"n": F.lit(1)}), value, by, ["n"])
     wanted = [quantile(value, "n", q).alias(name) for name, q in probabilities.items()]
     return table.groupBy(*by).agg(F.sum("n").alias("count"), *wanted)
@@ -121,32 +128,30 @@ def summary(table: DataFrame, value: str, samples: Mapping[str, str], by: Sequen
     per stratum and label of ``samples``."""
     by = list(by)
     x = F.col(value)
-    aggregates = []
-    for s in samples.values():
-        aggregates += [F.sum(s).alias(f"{s}_n"), F.try_divide(F.sum(x * F.col(s)), F.sum(s)).alias(f"{s}_mean")]
-        aggregates += [quantile(value, s, q).alias(f"{s}_{name}") for name, q in QUARTILES.items()]
-    middle = table.groupBy(*by).agg(*aggregates)
+    names = list(samples.values())
+    means = [F.try_divide(F.sum(x * F.col(s)), F.sum(s)).alias(f"{s}_mean") for s in names]
 
-    # The spread is summed around the mean, which is one number per stratum.
-    means = [f"{s}_mean" for s in samples.values()]
+    # The spread is summed around the mean: one number per stratum, or just one.
+    center = table.groupBy(*by).agg(*means)
     if by:
-        centred = null_safe_join(table, middle.select(*by, *means), by, "inner")
+        centred = null_safe_join(table, center, by, "inner")
     else:
-        centred = table.withColumns({m: middle.select(m).scalar() for m in means})
-    spread = []
-    for s in samples.values():
+        centred = table.withColumns({f"{s}_mean": F.lit(m).cast("double") for s, m in zip(names, center.first())})
+
+    aggregates = []
+    for s in names:
         gap = x - F.col(f"{s}_mean")
-        spread.append(F.sqrt(F.try_divide(F.sum(gap * gap * F.col(s)), F.sum(s) - 1)).alias(f"{s}_std"))
-    spreads = centred.groupBy(*by).agg(*spread)
-    if by:
-        joined = null_safe_join(middle, spreads, by, "inner")
-    else:
-        joined = middle.withColumns({f"{s}_std": spreads.select(f"{s}_std").scalar() for s in samples.values()})
+        aggregates += [
+            F.sum(s).alias(f"{s}_n"),
+            F.max(f"{s}_mean").alias(f"{s}_mean"),
+            F.sqrt(F.try_divide(F.sum(gap * gap * F.col(s)), F.sum(s) - 1)).alias(f"{s}_std"),
+            *[quantile(value, s, q).alias(f"{s}_{name}") for name, q in QUARTILES.items()],
+        ]
     rows = [
         F.struct(F.lit(label).alias("sample"), *[F.col(f"{s}_{c}").alias(c) for c in ("n", "mean", "std", *QUARTILES)])
         for label, s in samples.items()
     ]
-    return joined.select(*by, F.inline(F.array(*rows)))
+    return centred.groupBy(*by).agg(*aggregates).select(*by, F.inline(F.array(*rows)))
 
 
 def mann_whitney(table: DataFrame, value: str, by: Sequence[str] = (), extra: Sequence[Column] = ()) -> DataFrame:
@@ -188,17 +193,14 @@ def mann_whitney(table: DataFrame, value: str, by: Sequence[str] = (), extra: Se
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     """Equal-width bins between the least and the greatest value; the last bin includes the greatest."""
-    known = df.select(F.col(value).cast("double").alias("x")).filter(F.col("x").isNotNull() & ~F.isnan("x"))
-    edge = known.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
-    # A single value gets a unit-wide span around it.
-    flat = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
-    lo, hi = edge.select(F.col("lo") - flat).scalar(), edge.select(F.col("hi") + flat).scalar()
-    placed = known.select(F.least(F.width_bucket("x", lo, hi, F.lit(bins)), F.lit(bins)).cast("int").alias("bin"))
-    found = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
+    table = collapse(df, value, (), {"n": F.lit(1)}).dropna(subset=[value])
+    lo, hi = table.agg(F.min(value), F.max(value)).first()
+    if lo is None:
+        lo, hi = 0.0, 1.0
+    if lo == hi:  # a single value gets a unit-wide span around it
+        lo, hi = lo - 0.5, hi + 0.5
+    placed = F.least(F.width_bucket(F.col(value), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
+    found = table.groupBy(placed.alias("bin")).agg(F.sum("n").alias("n"))
     grid = df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
-    width = (hi - lo) / bins
-    return (
-        grid.join(found, "bin", "left")
-        .fillna(0, ["n"])
-        .select("bin", (lo + width * (F.col("bin") - 1)).alias("bin_lo"), (lo + width * F.col("bin")).alias("bin_hi"), "n")
-    )
+    edge = [(F.lit(lo) + F.lit((hi - lo) / bins) * k) for k in (F.col("bin") - 1, F.col("bin"))]
+    return grid.join(found, "bin", "left").fillna(0, ["n"]).select("bin", edge[0].alias("bin_lo"), edge[1].alias("bin_hi"), "n")

@@ -47,7 +47,7 @@ def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int
     values = rows.select(*known, F.inline(entries)).filter(F.col("value").isNotNull())
     names = [f"_n{k}" for k in slot.values()]
     per_value = values.groupBy("f", "value").agg(*[F.sum(f"_k{k}").alias(f"_n{k}") for k in slot.values()])
-    table = prefix_counts(per_value, "value", ["f"], names, rows_per_range)
+    table = prefix_counts(stored(per_value), "value", ["f"], names, rows_per_range)
     centred = [(2 * F.col(f"{n}_below") + F.col(n) - F.col(f"{n}_total")).cast("double").alias(f"_c{n}") for n in names]
     ranks = stored(table.select("f", "value", *names, *centred), ["f"])
 

@@ -275,8 +275,11 @@ def opening_seconds(
 
 def opening_timing(seconds: DataFrame) -> DataFrame:
     """Quartiles over the rounds with a known time; n counts all rounds."""
-    n = seconds.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return dist.quantiles(seconds, "sec", dist.QUARTILES).withColumn("n", n)
+    values = dist.collapse(seconds, "sec", (), {"n": F.lit(1)})
+    n = values.agg(F.sum("n")).first()[0] or 0
+    table = dist.prefix_counts(values, "sec", (), ["n"])
+    wanted = [dist.quantile("sec", "n", q).alias(name) for name, q in dist.QUARTILES.items()]
+    return table.agg(F.lit(n).cast("bigint").alias("n"), F.sum("n").alias("count"), *wanted)
 
 
 def timing_histogram(seconds: DataFrame, bins: int = 20) -> DataFrame:

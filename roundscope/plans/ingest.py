@@ -13,6 +13,7 @@ from ..operators import columns as cols
 from ..operators.asof import IntervalSize, attach_round, measure, relative_time
 from ..operators.snapshots import first_per_group, keep_first, snapshot_after, trajectory_summary
 from ..schemas import K2
+from ..session import broadcast_within
 from ..sources.bundles import INGEST_TICKRATE
 
 # Alternative spellings by table, in order of preference.
@@ -60,6 +61,13 @@ class Scope:
         self.keys = [c for c in K2 if c in header.columns]
         self.header = header
         self._size: IntervalSize | None = None
+        self._sources: int | None = None
+
+    def _headers(self, column: str) -> DataFrame:
+        """One row per source, counted once, beside tables that may be very much larger."""
+        if self._sources is None:
+            self._sources = self.header.count()
+        return broadcast_within(self.header.select(*self.keys, column), self._sources)
 
     def size(self, rounds: DataFrame) -> IntervalSize:
         """The rounds counted, once for all tables."""
@@ -86,10 +94,10 @@ class Scope:
         """Add the map of each source; there is one header row per source."""
         if "map_name" in df.columns:
             return df
-        return df.join(self.header.select(*self.keys, "map_name"), self.keys, "left")
+        return df.join(self._headers("map_name"), self.keys, "left")
 
     def rate(self, df: DataFrame) -> DataFrame:
-        return df.join(self.header.select(*self.keys, "tickrate"), self.keys, "left").fillna(INGEST_TICKRATE, ["tickrate"])
+        return df.join(self._headers("tickrate"), self.keys, "left").fillna(INGEST_TICKRATE, ["tickrate"])
 
 
 def rounds(df: DataFrame, scope: Scope) -> DataFrame:
@@ -158,7 +166,10 @@ def _part(df: DataFrame, column: str) -> Column:
 
 
 def events_shots(slim: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
-    """One row per shot: the strongest available key decides what counts as the same shot."""
+    """One row per shot: the strongest available key decides what counts as the same shot.
+
+    The event id is made of the columns of that key, so it needs no deduplication of its own.
+    """
     key = [*scope.keys, "map_name", "round", "tick"]
     for c in ("shooterSteamID", "weapon"):
         if c not in slim.columns:
@@ -170,8 +181,7 @@ def events_shots(slim: DataFrame, rounds: DataFrame, scope: Scope) -> DataFrame:
         "event_id",
         stable_id("demo_file", "round", "tick", _part(timed, "shooterSteamID"), _part(timed, "weapon")),
     )
-    out = scope.keep(named, [*["map_name"], *["round", "tick", "t_round", "t_sec", "event_id"], *SHOT_COLUMNS[2:]])
-    return keep_first(out, [*scope.keys, "event_id"])
+    return scope.keep(named, ["map_name", "round", "tick", "t_round", "t_sec", "event_id", *SHOT_COLUMNS[2:]])
 
 
 def events_bomb(bomb: DataFrame, rounds: DataFrame, scope: Scope, keep_explode: bool = True) -> DataFrame:
