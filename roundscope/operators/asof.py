@@ -13,7 +13,7 @@ from ..session import broadcast_within, stored
 from .distribution import prefix_counts
 
 # Intervals searched in one array; a key with more gets arrays of arrays.
-ARRAY_LIMIT = 128
+ARRAY_LIMIT = 1024
 
 
 class IntervalSize(NamedTuple):
@@ -65,15 +65,15 @@ def asof_backward(
         .select(*by, "_from", F.struct("_from", "_hit.*").alias("_hit"))
     )
     timed = events.withColumn("_time", whole(event_time)).filter(F.col("_time").isNotNull())
-    matched = _last_started(timed, spans, by, size, array_limit)
-    inside = F.col("_hit._to").isNull() | (F.col("_time") <= F.col("_hit._to"))
-    return matched.filter(inside).select(*events.columns, *[F.col(f"_hit.{p}").alias(p) for p in payload])
+    matched = _last_started(timed, spans, by, size, array_limit, ["_from", *payload, "_to"])
+    inside = F.coalesce(F.col("_to") >= F.col("_time"), F.lit(True))
+    return matched.filter(inside).select(*events.columns, *payload)
 
 
 def _last_started(
-    timed: DataFrame, spans: DataFrame, by: list[str], size: IntervalSize, limit: int, level: int = 0
+    timed: DataFrame, spans: DataFrame, by: list[str], size: IntervalSize, limit: int, fields: list[str], level: int = 0
 ) -> DataFrame:
-    """Add ``_hit`` of the last span with ``_from`` at or before ``_time``.
+    """Add the fields of the last span with ``_from`` at or before ``_time``.
 
     The spans of a key are cut into blocks of ``limit``. If a key has several blocks, the block of an
     event is found first, by the same search among the starts of the blocks.
@@ -86,13 +86,22 @@ def _last_started(
         blocks = spans.groupBy(*by, block).agg(F.min("_from").alias("_from"))
         blocks = blocks.select(*by, "_from", F.struct("_from", block).alias("_hit"))
         fewer = IntervalSize(-(-size.rows // limit), -(-size.busiest // limit))
-        timed = _last_started(timed, blocks, by, fewer, limit, level + 1)
-        timed = timed.withColumn(block, F.col(f"_hit.{block}")).drop("_hit")
+        timed = _last_started(timed, blocks, by, fewer, limit, ["_from", block], level + 1).drop("_from")
         keys = [*by, block]
     arrays = spans.groupBy(*keys).agg(F.array_sort(F.collect_list("_hit")).alias("_spans"))
-    started = F.filter("_spans", lambda s: s["_from"] <= F.col("_time"))
-    joined = timed.join(broadcast_within(arrays, size.rows), keys, "left")
-    return joined.withColumn("_hit", F.try_element_at(started, F.lit(-1))).drop("_spans", *keys[len(by):])
+    arrays = arrays.withColumn("_starts", F.col("_spans._from"))
+    found = timed.join(broadcast_within(arrays, size.rows), keys, "left")
+    # Halving steps over the sorted array: the count of spans known to start in time grows by a step
+    # where the span it would reach does; past the end of the array the comparison is NULL.
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(min(size.busiest, limit).bit_length()))])
+    count = F.aggregate(
+        steps.cast("array<int>"),
+        F.lit(0),
+        lambda n, step: F.when(F.get("_starts", n + step - 1) <= F.col("_time"), n + step).otherwise(n),
+    )
+    # A generator keeps later filters from repeating the search.
+    kept = [F.col(c) for c in timed.columns if c not in keys[len(by):]]
+    return found.select(*kept, F.inline(F.array(F.get("_spans", count - 1)))).select(*kept, *fields)
 
 
 def attach_round(
