@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import differs
+from ..session import broadcast_within, stored
+from .columns import null_safe_join
 
 
 def first_with_ties(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -36,41 +38,41 @@ def next_opposite(df: DataFrame, keys: Sequence[str], order: str, side: str) ->
     """Per group: t0 and side0 of the first event, and t1, the first later event of another side.
 
     side0 is the first known side. A missing side counts as another side. t1 is NULL when no such
-    event follows. The events are only aggregated per (group, side); the rows that need a second
-    look are those where another side is tied with the first event.
+    event follows. The events are only aggregated per (group, side). That small table is stored; if
+    another side is tied with the first event in some groups, the events are read once more for
+    just these.
     """
     keys = list(keys)
     known = df
     for c in (*keys, order):
         known = known.filter(F.col(c).isNotNull())
     per_side = known.groupBy(*keys, side).agg(F.min(order).alias("_first"))
-    rounds = Window.partitionBy(*keys)  # one row per side
-    with_first = per_side.withColumns(
-        {
-            "t0": F.min("_first").over(rounds),
-            "side0": F.min(F.when(F.col(side).isNotNull(), F.struct("_first", side))).over(rounds)[side],
-        }
+    group = Window.partitionBy(*keys)  # one row per side
+    with_first = stored(
+        per_side.withColumns(
+            {
+                "t0": F.min("_first").over(group),
+                "side0": F.min(F.when(F.col(side).isNotNull(), F.struct("_first", side))).over(group)[side],
+            }
+        )
     )
     other = differs(F.col(side), F.col("side0"))
     firsts = with_first.groupBy(*keys).agg(
-        F.first("t0").alias("t0"),
-        F.first("side0").alias("side0"),
-        F.min(F.when(other & (F.col("_first") > F.col("t0")), F.col("_first"))).alias("_direct"),
+        F.min("t0").alias("t0"),
+        F.max("side0").alias("side0"),
+        F.min(F.when(other & (F.col("_first") > F.col("t0")), F.col("_first"))).alias("t1"),
     )
-    tied = with_first.filter(other & (F.col("_first") == F.col("t0"))).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(side).alias("_side"), F.col("t0").alias("_t0")
-    )
-    same = F.col(side).eqNullSafe(F.col("_side"))
-    for i, k in enumerate(keys):
-        same = same & (F.col(k) == F.col(f"_k{i}"))
+    tied = with_first.filter(other & (F.col("_first") == F.col("t0"))).select(*keys, side, F.col("t0").alias("_t0"))
+    ties = tied.count()
+    if not ties:
+        return firsts
     after_tie = (
-        known.join(tied, same & (F.col(order) > F.col("_t0")), "inner")
+        null_safe_join(known, broadcast_within(tied, ties), [*keys, side], "inner")
+        .filter(F.col(order) > F.col("_t0"))
         .groupBy(*keys)
         .agg(F.min(order).alias("_after_tie"))
     )
-    return firsts.join(after_tie, keys, "left").select(
-        *keys, "t0", "side0", F.least("_direct", "_after_tie").alias("t1")
-    )
+    return firsts.join(after_tie, keys, "left").select(*keys, "t0", "side0", F.least("t1", "_after_tie").alias("t1"))
 
 
 def response_curve(df: DataFrame, delay: str, horizon: int = 12, points: Sequence[int] | None = None) -> DataFrame:
