@@ -88,6 +88,35 @@ def count_of(tokens: Sequence[str], item_list: Column) -> Column:
     return F.size(F.filter(item_list, lambda x: x.rlike(pattern))) if tokens else F.lit(0)
 
 
+# A list of strings without escapes: its elements can be told apart by their quotes alone.
+_PLAIN_LIST = r'^\s*\[\s*"[^"\\\x00-\x1F]*"(\s*,\s*"[^"\\\x00-\x1F]*")*\s*\]\s*$'
+
+
+def is_plain(c) -> Column:
+    """Whether an inventory text is a list of strings without escapes, as almost all are."""
+    return F.coalesce(_col(c).rlike(_PLAIN_LIST), F.lit(False))
+
+
+def count_in(tokens: Sequence[str], text, plain: Column, lowered: Column, present: bool = False) -> Column:
+    """``count_of`` straight from an inventory text, or just 0 and 1 if only ``present`` is asked for.
+
+    A plain list is searched quote by quote without being parsed; ``plain`` and ``lowered`` are
+    computed once per text by the caller. Any other text is parsed.
+    """
+    if not tokens:
+        return F.lit(0)
+    parsed = items(text)
+    if any(not t.strip(" ,\t") or '"' in t for t in tokens):
+        return any_of(tokens, parsed).cast("int") if present else count_of(tokens, parsed)
+    pattern = _matcher(tokens)
+    hit = lowered.rlike(pattern)
+    if present:
+        return F.when(plain, hit.cast("int")).otherwise(any_of(tokens, parsed).cast("int"))
+    quoted = F.lit(f'"[^"]*(?:{pattern})[^"]*"')
+    found = F.when(hit, F.regexp_count(lowered, quoted)).otherwise(0)
+    return F.when(plain, found).otherwise(count_of(tokens, parsed))
+
+
 def score(weights: dict[str, float] = WEIGHTS) -> Column:
     """Weighted sum of the category columns of a team."""
     total = None

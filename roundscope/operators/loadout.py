@@ -33,11 +33,13 @@ def team_loadout(
     Categories in ``flags`` are 0/1 (present at all), the others count elements. Each player row is
     reduced to numbers before the shuffle.
     """
-    counted = players.select(*keys, team, it.items(inventory).alias("_items"), F.coalesce(number(helmet), F.lit(0.0)).alias("_helmet"))
-    per_player = counted.select(
+    texts = players.select(
+        *keys, team, F.coalesce(number(helmet), F.lit(0.0)).alias("_helmet"),
+        F.col(inventory).alias("_text"), it.is_plain(inventory).alias("_plain"), F.lower(inventory).alias("_lower"),
+    )
+    per_player = texts.select(
         *keys, team, "_helmet",
-        *[(it.any_of(t, F.col("_items")).cast("int") if c in flags else it.count_of(t, F.col("_items"))).alias(c)
-          for c, t in categories.items()],
+        *[it.count_in(t, "_text", F.col("_plain"), F.col("_lower"), c in flags).alias(c) for c, t in categories.items()],
     )
     sums = [(F.max(c) if c in flags else F.sum(c)).cast("bigint").alias(c) for c in categories]
     teams = per_player.groupBy(*keys, team).agg(

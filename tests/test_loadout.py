@@ -47,6 +47,25 @@ def test_categories_match_by_substring(spark):
     assert tuple(r) == (True, 2, 3, 0)  # "Snakebite" holds "ak"
 
 
+def test_counting_in_the_text_equals_parsing(spark):
+    texts = [
+        '["AK-47", "Knife", "ak ak"]', '["AK-47","MP9"]', ' [ "ak" , "x" ] ', '["a\\"k", "ak"]', '["\\u0041K"]', "[]", "ak", '["ak", 3]',
+        '["ak" "b"]', '["ak",]', '["a,ak", ", ak"]', '["ak\nx"]', '[["ak"]]', "", None, '["É", "BREAK"]', '["ak"', '[""]', '["x"]["ak"]',
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for tokens in (["ak"], ["ak", "mp9"], ["x", "é"], [], [","], ["-"]):
+        both = df.select(
+            "v", it.count_of(tokens, it.items("v")).alias("a"), it.count_in(tokens, "v", it.is_plain("v"), F.lower("v")).alias("b")
+        )
+        found = both.collect()
+        assert [(r.v, r.a) for r in found] == [(r.v, r.b) for r in found], tokens
+        flags = df.select(
+            it.any_of(tokens, it.items("v")).cast("int").alias("a"),
+            it.count_in(tokens, "v", it.is_plain("v"), F.lower("v"), present=True).alias("b"),
+        ).collect()
+        assert [r.a for r in flags] == [r.b for r in flags], tokens
+
+
 PLAYERS = [
     ("m", "d", 1, "CT", 1, '["AWP", "Knife"]'), ("m", "d", 1, "CT", None, '["AK-47", "AWP"]'), ("m", "d", 1, "T", 0, '["Glock-18"]'),
     ("m", "d", 2, "CT", 1, '["MP9"]'), ("m", "d", 2, "T", 1, '["Nova"]'), ("m", "d", 3, "T", 1, "[]"), ("m", "d", 4, "SPEC", 1, '["AWP"]'),
