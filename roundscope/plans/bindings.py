@@ -14,6 +14,7 @@ from ..operators.asof import asof_backward
 from ..operators.columns import unite
 
 ROUND = ["round"]
+MATCH_ROUND = ["match_id", "round"]
 MATCH = ["match_id"]
 
 # Item fragments of the part names in the role of equipment.
@@ -92,6 +93,18 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, "l_partkey").drop("l_partkey")
 
 
+def with_match(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataFrame:
+    """Rows of a round with the match it belongs to."""
+    return df.join(rounds(spark, sf_dir).select("round", "match_id"), "round")
+
+
+def plants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Returned lines as plants, their quantity as the second of the plant."""
+    lines = table(spark, sf_dir, "lineitem").filter(F.col("l_returnflag") == "R")
+    found = lines.select(F.col("l_orderkey").alias("round"), F.lit("PLANTED").alias("event"), F.col("l_quantity").alias("t_sec"))
+    return with_match(spark, sf_dir, found)
+
+
 # --- events ------------------------------------------------------------------------------------
 
 

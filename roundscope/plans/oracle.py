@@ -438,18 +438,19 @@ ORACLE["round_features"] = roles(
 )
 
 
-def _spearman() -> str:
+def _spearman(features: str, names: list[str]) -> str:
     """Average ranks inside each pair, then Pearson."""
     long = " UNION ALL ".join(
         f"SELECT '{f}' AS f1, '{g}' AS f2, {f} AS x, {g} AS y FROM features WHERE {f} IS NOT NULL AND {g} IS NOT NULL"
-        for f in _NAMES for g in _NAMES
+        for f in names for g in names
     )
     return roles(
-        """SELECT f1, f2, round(CASE WHEN vx > 1e-9 AND vy > 1e-9 THEN cxy/sqrt(vx)/sqrt(vy) END, 6) + 0.0 AS rho, n
-        FROM (SELECT f1, f2, count(*) AS n, sum((rx-m)*(ry-m)) AS cxy, sum((rx-m)*(rx-m)) AS vx, sum((ry-m)*(ry-m)) AS vy
-              FROM ranks GROUP BY f1, f2)""",
+        """SELECT g.f1, g.f2, round(CASE WHEN vx > 1e-9 AND vy > 1e-9 THEN cxy/sqrt(vx)/sqrt(vy) END, 6) + 0.0 AS rho, coalesce(n, 0) AS n
+        FROM (SELECT a.name AS f1, b.name AS f2 FROM names a CROSS JOIN names b) g LEFT JOIN (SELECT f1, f2, count(*) AS n, sum((rx-m)*(ry-m)) AS cxy, sum((rx-m)*(rx-m)) AS vx, sum((ry-m)*(ry-m)) AS vy
+              FROM ranks GROUP BY f1, f2) s ON g.f1=s.f1 AND g.f2=s.f2""",
         ANSWERS.strip(),
-        FEATURES.strip(),
+        features.strip(),
+        f"names AS (SELECT unnest({names}) AS name)",
         f"pairs AS ({long})",
         """ranks AS (
           SELECT f1, f2, rank() OVER (PARTITION BY f1, f2 ORDER BY x) + (count(*) OVER (PARTITION BY f1, f2, x) - 1)/2.0::DOUBLE AS rx,
@@ -458,7 +459,43 @@ def _spearman() -> str:
     )
 
 
-ORACLE["spearman"] = _spearman()
+MATCH_FEATURES = """
+ends AS (SELECT round, max(tick) AS last FROM kills GROUP BY round),
+planted AS (SELECT l_orderkey AS round, min(l_quantity) AS t_sec FROM lineitem WHERE l_returnflag='R' GROUP BY l_orderkey),
+rated AS (
+  SELECT r.match_id, n.round, n.t0, n.t1, n.side0, r.winner, r.start, e.last, coalesce(h.tickrate, 64.0) AS rate
+  FROM answers n JOIN rounds r USING (round) JOIN ends e USING (round) LEFT JOIN header h USING (match_id)
+),
+features AS (
+  SELECT r.match_id, r.round, coalesce(winner=side0, false)::INT::DOUBLE AS open_won, (t0-start)/rate AS time_to_ok_s,
+         coalesce((t1-t0)/rate <= 3, false)::INT::DOUBLE AS trade_3s, coalesce((t1-t0)/rate <= 5, false)::INT::DOUBLE AS trade_5s,
+         coalesce((t1-t0)/rate <= 10, false)::INT::DOUBLE AS trade_10s,
+         (p.t_sec IS NOT NULL)::INT::DOUBLE AS plant, p.t_sec AS time_to_plant_s, (last-start)/rate AS round_dur_s,
+         s.score-t.score AS d_score, (s.awp-t.awp)::BIGINT AS d_awp, (s.rifles-t.rifles)::BIGINT AS d_rifles, (s.smgs-t.smgs)::BIGINT AS d_smgs,
+         CASE WHEN s.score+t.score IS NOT NULL THEN 0::BIGINT END AS d_heavy, CASE WHEN s.score+t.score IS NOT NULL THEN 0::BIGINT END AS d_pistols,
+         s.helmets-t.helmets AS d_helmets, s.score AS score_open, t.score AS score_other
+  FROM rated r LEFT JOIN planted p ON p.round=r.round
+  LEFT JOIN scored s ON s.round=r.round AND s.team=upper(side0) LEFT JOIN scored t ON t.round=r.round AND t.team<>upper(side0)
+)"""
+_MATCH_NAMES = [
+    "open_won", "time_to_ok_s", "trade_3s", "trade_5s", "trade_10s", "plant", "time_to_plant_s", "round_dur_s",
+    "d_score", "d_awp", "d_rifles", "d_smgs", "d_heavy", "d_pistols", "d_helmets", "score_open", "score_other",
+]
+_WHOLE = ["d_awp", "d_rifles", "d_smgs", "d_heavy", "d_pistols"]
+ORACLE["match_features"] = roles(
+    f"SELECT match_id, round, {', '.join(_WHOLE)}, {r6(**{n: n for n in _MATCH_NAMES if n not in _WHOLE})} FROM features",
+    ANSWERS.strip(),
+    MATCH_FEATURES.strip(),
+)
+ORACLE["feature_correlations"] = _spearman(MATCH_FEATURES, _MATCH_NAMES)
+ORACLE["trade_curve_rated"] = roles(
+    'SELECT g."T", count(*) FILTER (WHERE (t1-t0)/rate <= g."T") AS n_within, '
+    'round(count(*) FILTER (WHERE (t1-t0)/rate <= g."T")/CAST(count(*) AS DOUBLE), 6) AS ret_rate '
+    'FROM rated CROSS JOIN (SELECT unnest(range(1,13)) AS "T") g GROUP BY g."T"',
+    ANSWERS.strip(),
+    MATCH_FEATURES.strip(),
+)
+ORACLE["spearman"] = _spearman(FEATURES, _NAMES)
 ORACLE["spearman_ranged"] = ORACLE["spearman"]
 
 # --- intervals and snapshots ---------------------------------------------------------------------------------

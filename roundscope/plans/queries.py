@@ -334,6 +334,32 @@ def spearman_ranged(spark, d):
     return rounded(spearman_matrix(_features(spark, d), FEATURES, rows_per_range=5000))
 
 
+def _match_features(spark, d) -> DataFrame:
+    """The features of the analysis, by match and round."""
+    teams = an.team_loadouts(b.with_match(spark, d, b.players(spark, d)), b.MATCH_ROUND, categories=b.PART_CATEGORIES)
+    kills = b.with_match(spark, d, b.kills(spark, d))
+    return an.round_features(
+        b.finished_rounds(spark, d), kills, b.header(spark, d), b.plants(spark, d), teams, b.MATCH_ROUND, b.MATCH
+    )
+
+
+@query
+def match_features(spark, d):
+    return rounded(_match_features(spark, d).select("match_id", "round", *an.FEATURES))
+
+
+@query
+def feature_correlations(spark, d):
+    return rounded(spearman_matrix(_match_features(spark, d), an.FEATURES))
+
+
+@query
+def trade_curve_rated(spark, d):
+    """Seconds by the tick rate of the match."""
+    kills = b.with_match(spark, d, b.kills(spark, d))
+    return rounded(an.trade_curve(an.trade_delays(kills, b.header(spark, d), b.MATCH_ROUND, b.MATCH)))
+
+
 # --- intervals and snapshots ---------------------------------------------------------------------
 
 

@@ -93,6 +93,21 @@ def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     return conform(read_bundle(spark, root, table), WAREHOUSE[table])
 
 
+def register_views(spark: SparkSession, root: str, prefix: str = "") -> None:
+    """Make the stored tables known to ``spark.sql`` under their names."""
+    for table in WAREHOUSE:
+        read_table(spark, root, table).createOrReplaceTempView(prefix + table)
+
+
+def one(spark: SparkSession, sql: str, **args) -> int:
+    """First value of a query as a whole number; 0 where the query cannot be answered."""
+    try:
+        row = spark.sql(sql, args=args).first()
+    except AnalysisException:
+        return 0
+    return int(row[0]) if row and row[0] is not None else 0
+
+
 def merge_into(
     spark: SparkSession, root: str, table: str, source: DataFrame, order: Sequence[str] = (), batch: str | None = None
 ) -> None:

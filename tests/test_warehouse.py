@@ -46,6 +46,16 @@ def test_build_keeps_the_first_writer(spark, matches, tmp_path, rows):
     assert warehouse.read_table(spark, root, "rounds").count() == 2
 
 
+def test_views(spark, matches, tmp_path):
+    root = str(tmp_path / "warehouse")
+    warehouse.build(spark, matches, root)
+    warehouse.register_views(spark, root, "wh_")
+    assert warehouse.one(spark, "SELECT count(DISTINCT match_id) FROM wh_events_shots") == 2
+    assert warehouse.one(spark, "SELECT count(*) FROM wh_events_shots WHERE weapon = :w", w="awp") == 1
+    assert warehouse.one(spark, "SELECT count(*) FROM no_such_table") == 0
+    assert spark.table("wh_header").count() == 0
+
+
 def test_named_batch_replaces_itself(spark, matches, tmp_path):
     root = str(tmp_path / "warehouse")
     for _ in range(2):
