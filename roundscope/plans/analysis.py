@@ -206,7 +206,8 @@ def round_durations(
 ) -> DataFrame:
     """Seconds each round lasted and whether the branch event happened in it."""
     marked = bomb.filter(F.lower("event") == branch).select(*keys).distinct().withColumn("planted", F.lit(True))
-    rated = null_safe_join(rounds, header.select(*header_keys, *extra, "tickrate"), header_keys, "left")
+    bounds = rounds.select(*dict.fromkeys([*keys, *header_keys, "start", "end"]))
+    rated = null_safe_join(bounds, header.select(*header_keys, *extra, "tickrate"), header_keys, "left")
     joined = null_safe_join(rated, marked, keys, "left").dropna(subset=["start", "end", "tickrate", *extra])
     length = F.try_divide((F.col("end") - F.col("start")).cast("double"), F.col("tickrate").cast("double"))
     return joined.select(*keys, *extra, F.coalesce("planted", F.lit(False)).alias("planted"), length.alias("dur_s"))
@@ -241,8 +242,13 @@ def duration_by(durations: DataFrame, by: str = "map_name") -> DataFrame:
 # --- sides -----------------------------------------------------------------------------------
 
 
+def with_map(rounds: DataFrame, header: DataFrame, header_keys: Sequence[str] = K2) -> DataFrame:
+    """Rounds with the map their header names."""
+    return null_safe_join(rounds.drop("map_name"), header.select(*header_keys, "map_name"), header_keys, "left")
+
+
 def side_rate(rounds: DataFrame, by: Sequence[str] = (), p0: float = 0.5) -> DataFrame:
-    """Share of rounds won by t, against even odds."""
+    """Share of rounds won by t, against even odds. Rounds without a stratum are left out."""
     won = F.upper(F.coalesce("winner", F.lit("")))
     decided = rounds.withColumn("_winner", won).filter(F.col("_winner").isin("CT", "T")).dropna(subset=list(by))
     out = ct.binomial_rates(decided, F.col("_winner") == "T", by, p0)
