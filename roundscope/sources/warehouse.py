@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from ..operators.columns import unite
 from ..operators.snapshots import keep_first
 from ..schemas import CATALOG, UNIQUE_KEYS, WAREHOUSE
+from ..session import BROADCAST_ROWS, stored
 from .bundles import read_bundle
 
 
@@ -48,10 +49,17 @@ def merge_append(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True).select(*target.columns)
 
 
-def new_rows(target: DataFrame | None, source: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+def new_rows(
+    target: DataFrame | None,
+    source: DataFrame,
+    key: Sequence[str],
+    order: Sequence[str] = (),
+    source_rows: int | None = None,
+) -> DataFrame:
     """Source rows that insert-or-ignore would add: the first per key, unless the target has the key.
 
-    A key with a NULL in it equals no other key, so such rows always pass.
+    A key with a NULL in it equals no other key, so such rows always pass. If the counted source is
+    small, its keys go to the target, so that a large target is scanned but not shuffled.
     """
     whole = F.lit(True)
     for k in key:
@@ -59,7 +67,10 @@ def new_rows(target: DataFrame | None, source: DataFrame, key: Sequence[str], or
     unkeyed = source.filter(~whole)
     keyed = keep_first(source.filter(whole), list(key), list(order))
     if target is not None:
-        keyed = keyed.join(target.select(*key), list(key), "left_anti")
+        taken = target.select(*key)
+        if source_rows is not None and source_rows <= BROADCAST_ROWS:
+            taken = taken.join(F.broadcast(keyed.select(*key)), list(key), "left_semi")
+        keyed = keyed.join(taken, list(key), "left_anti")
     return keyed.select(*source.columns).unionByName(unkeyed)
 
 
@@ -109,16 +120,22 @@ def one(spark: SparkSession, sql: str, **args) -> int:
 
 
 def merge_into(
-    spark: SparkSession, root: str, table: str, source: DataFrame, order: Sequence[str] = (), batch: str | None = None
+    spark: SparkSession, root: str, table: str, source: DataFrame, order: Sequence[str] = (), batch: str | None = None,
+    incremental: bool = False,
 ) -> None:
     """Merge a source into a stored table.
 
     Tables with a unique key ignore known keys, which makes a repeated merge harmless; the others
-    append, and only a named batch may be repeated.
+    append, and only a named batch may be repeated. An ``incremental`` source is small beside the
+    table: it is computed once and counted before it is merged.
     """
     rows = conform(source, WAREHOUSE[table])
     if table in UNIQUE_KEYS:
-        append(new_rows(read_table(spark, root, table), rows, UNIQUE_KEYS[table], order), root, table)
+        count = None
+        if incremental:
+            rows = stored(rows)
+            count = rows.count()
+        append(new_rows(read_table(spark, root, table), rows, UNIQUE_KEYS[table], order, count), root, table)
     else:
         append(rows, root, table, batch)
 

@@ -47,7 +47,8 @@ def ingest_stream(
 
     def merge(batch: DataFrame, number: int) -> None:
         ready = transform(batch) if transform else batch
-        merge_into(batch.sparkSession, root, table, ready, order=("match_id",), batch=f"{feed}-{number}")
+        label = f"{feed}-{number}"
+        merge_into(batch.sparkSession, root, table, ready, order=("match_id",), batch=label, incremental=True)
 
     place = checkpoint or f"{shared_folder(spark)}/ingest/{table}"
     return (

@@ -69,6 +69,8 @@ def test_merge_ignore(spark, rows):
     source = spark.createDataFrame([("a", 2), ("b", 4), ("b", 3), (None, 5), (None, 5)], schema)
     once = warehouse.merge_ignore(target, source, ["k"])
     assert rows(once) == [(None, 0), (None, 5), (None, 5), ("a", 1), ("b", 3)]
+    added = rows(warehouse.new_rows(target, source, ["k"]))
+    assert added == rows(warehouse.new_rows(target, source, ["k"], source_rows=5)) == [(None, 5), (None, 5), ("b", 3)]
     keyed = source.filter("k is not null")
     assert rows(warehouse.merge_ignore(once, keyed, ["k"])) == rows(once)
     assert rows(warehouse.merge_append(target, source.drop("v")))[0] == (None, None)
