@@ -49,6 +49,14 @@ def merge_append(target: DataFrame, source: DataFrame) -> DataFrame:
     return target.unionByName(source, allowMissingColumns=True).select(*target.columns)
 
 
+def _keyed(key: Sequence[str]) -> Column:
+    """Whether a row has all parts of the key."""
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    return whole
+
+
 def new_rows(
     target: DataFrame | None,
     source: DataFrame,
@@ -61,11 +69,8 @@ def new_rows(
     A key with a NULL in it equals no other key, so such rows always pass. If the counted source is
     small, its keys go to the target, so that a large target is scanned but not shuffled.
     """
-    whole = F.lit(True)
-    for k in key:
-        whole = whole & F.col(k).isNotNull()
-    unkeyed = source.filter(~whole)
-    keyed = keep_first(source.filter(whole), list(key), list(order))
+    unkeyed = source.filter(~_keyed(key))
+    keyed = keep_first(source.filter(_keyed(key)), list(key), list(order))
     if target is not None:
         taken = target.select(*key)
         if source_rows is not None and source_rows <= BROADCAST_ROWS:
@@ -135,7 +140,12 @@ def merge_into(
         if incremental:
             rows = stored(rows)
             count = rows.count()
-        append(new_rows(read_table(spark, root, table), rows, UNIQUE_KEYS[table], order, count), root, table)
+        key = UNIQUE_KEYS[table]
+        if batch:
+            # Rows without a key are told apart by nothing but the batch that brought them.
+            append(rows.filter(~_keyed(key)), root, table, batch)
+            rows = rows.filter(_keyed(key))
+        append(new_rows(read_table(spark, root, table), rows, key, order, count), root, table)
     else:
         append(rows, root, table, batch)
 

@@ -100,6 +100,15 @@ def test_stream_of_a_table_without_a_key(spark, tmp_path, rows):
     assert warehouse.read_table(spark, root, "rounds").count() == 2
 
 
+def test_repeated_batch_with_missing_keys(spark, tmp_path, rows):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.createDataFrame([("d", 1, 1, "e1", "ak", "x"), ("d", 1, 2, None, "ak", "x"), ("d", 1, 2, None, "ak", "x")], SHOT).write.parquet(source)
+    schema = spark.read.parquet(source).schema
+    for attempt in ("a", "b"):
+        ingest_stream(spark, source, root, "events_shots", schema, str(tmp_path / attempt)).awaitTermination()
+        assert rows(warehouse.read_table(spark, root, "events_shots"), "event_id") == [(None,), (None,), ("e1",)]
+
+
 def test_conform_and_read_sources(spark, tmp_path, rows):
     path = str(tmp_path / "https___a.b_1.parquet")
     spark.createDataFrame([("d", "7", "x")], "demo_file string, other string, map_name string").coalesce(1).write.parquet(path)
