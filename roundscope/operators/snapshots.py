@@ -87,11 +87,14 @@ TRAJECTORY_NAMES: dict[str, list[str]] = {
 }
 
 
-def trajectory_summary(df: DataFrame, scope: Sequence[str] = (), names=TRAJECTORY_NAMES) -> DataFrame:
+def trajectory_summary(
+    df: DataFrame, scope: Sequence[str] = (), names=TRAJECTORY_NAMES, scope_rows: int | None = None
+) -> DataFrame:
     """One row per projectile: first and last tick, first and last known position, type, thrower.
 
     Rows are grouped by projectile id where the scope (one source) has any id, otherwise by
     thrower and type; the choice is made per scope by a small aggregate, not on the driver.
+    ``scope_rows`` is the counted number of scopes, if known.
     """
     columns = {target: next((c for c in spellings if c in df.columns), None) for target, spellings in names.items()}
     if not columns["round"] or not columns["tick"]:
@@ -119,6 +122,8 @@ def trajectory_summary(df: DataFrame, scope: Sequence[str] = (), names=TRAJECTOR
         any_id = F.max(F.col("grenadeId").isNotNull())
         if scope:
             by_id = points.groupBy(*scope).agg(any_id.alias("_by_id"))
+            if scope_rows is not None:
+                by_id = broadcast_within(by_id, scope_rows)
             points = points.join(by_id, list(scope), "left")
         else:
             points = points.withColumn("_by_id", points.agg(any_id).scalar())

@@ -63,11 +63,15 @@ class Scope:
         self._size: IntervalSize | None = None
         self._sources: int | None = None
 
-    def _headers(self, column: str) -> DataFrame:
-        """One row per source, counted once, beside tables that may be very much larger."""
+    def sources(self) -> int:
+        """The sources counted, once for all tables."""
         if self._sources is None:
             self._sources = self.header.count()
-        return broadcast_within(self.header.select(*self.keys, column), self._sources)
+        return self._sources
+
+    def _headers(self, column: str) -> DataFrame:
+        """One row per source, beside tables that may be very much larger."""
+        return broadcast_within(self.header.select(*self.keys, column), self.sources())
 
     def size(self, rounds: DataFrame) -> IntervalSize:
         """The rounds counted, once for all tables."""
@@ -218,7 +222,7 @@ def projectiles(grenades: DataFrame) -> DataFrame:
 
 
 def grenades_summary(grenades: DataFrame, scope: Scope) -> DataFrame:
-    return scope.stamp(trajectory_summary(grenades, scope.keys))
+    return scope.stamp(trajectory_summary(grenades, scope.keys, scope_rows=scope.sources()))
 
 
 def events_grenades(grenades: DataFrame, scope: Scope) -> DataFrame:
