@@ -12,9 +12,10 @@ from ..functions.text import BOMB_EVENTS, TEAM_OF_NUMBER, event_label, flag, loo
 from ..operators import columns as cols
 from ..operators.asof import IntervalSize, attach_round, measure, relative_time
 from ..operators.snapshots import first_per_group, keep_first, snapshot_after, trajectory_summary
-from ..schemas import K2
-from ..session import broadcast_within
-from ..sources.bundles import INGEST_TICKRATE
+from ..schemas import K2, WAREHOUSE
+from ..session import broadcast_within, stored
+from ..sources import warehouse
+from ..sources.bundles import INGEST_TICKRATE, read_bundle
 
 # Alternative spellings by table, in order of preference.
 ROUND = {"round": ["round_num"]}
@@ -308,3 +309,31 @@ def inspector(ticks: DataFrame, rounds: DataFrame, keys: Sequence[str] = ()) ->
     side = lookup(F.col("team_num"), TEAM_OF_NUMBER)
     rest = [c for c in shown if c not in ("team_num", "name")]
     return first.withColumn("side", side).filter(F.col("side").isNotNull()).select(*by, "side", "name", "steamid", *rest)
+
+
+def write(
+    bundle: Mapping[str, DataFrame], header: DataFrame, root: str, tables: Sequence[str] | None = None, batch: str | None = None
+) -> DataFrame:
+    """Append the normalised tables of a bundle to a folder and return its manifest (table, rows).
+
+    A named batch may be repeated. The two bomb tables are alike and computed once.
+    """
+    made = ingest(bundle, header, tables)
+    if {"bomb", "events_bomb"} <= made.keys():
+        made["bomb"] = made["events_bomb"] = stored(made["events_bomb"])
+    for name, df in made.items():
+        warehouse.append(warehouse.typed(df, name), root, name, batch)
+    spark = header.sparkSession
+    return warehouse.manifest({name: read_bundle(spark, root, name) for name in made})
+
+
+def load(
+    bundle: Mapping[str, DataFrame], header: DataFrame, root: str, batch: str | None = None
+) -> list[str]:
+    """Normalise the decoded tables of many matches (``match_id`` in all of them) and merge them
+    straight into the warehouse; returns the merged tables."""
+    made = ingest(bundle, header)
+    merged = [name for name in WAREHOUSE if name in made]
+    for name in merged:
+        warehouse.merge_into(header.sparkSession, root, name, made[name], order=("match_id",), batch=batch)
+    return merged

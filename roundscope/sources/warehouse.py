@@ -35,11 +35,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
 def read_sources(spark: SparkSession, paths: str | Sequence[str], schema: StructType, match: Column | None = None) -> DataFrame:
     """All files of one table in a single scan, with the match id of each row taken from its path.
 
-    Reading by the declared schema is the intersection with it: an absent column is NULL, an
-    undeclared one is never read. ``match`` defaults to the stem of the file.
+    The columns of all files are united; a declared column that none has is NULL, an undeclared one
+    is never read, and values are cast to the declared types where they can be. Files are found at
+    any depth. ``match`` defaults to the stem of the file.
     """
-    stored = StructType([f for f in schema.fields if f.name != "match_id"])
-    found = spark.read.schema(stored).parquet(*([paths] if isinstance(paths, str) else paths))
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    found = reader.parquet(*([paths] if isinstance(paths, str) else paths))
     match = stem(F.col("_metadata.file_path")) if match is None else match
     return conform(found.withColumn("match_id", match), schema)
 
@@ -88,6 +89,13 @@ def table_path(root: str, table: str) -> str:
     return f"{root.rstrip('/')}/{table}"
 
 
+def typed(df: DataFrame, table: str) -> DataFrame:
+    """Columns the warehouse declares in its types, so that the files of all sources agree; the
+    others as they are."""
+    declared = {f.name: f.dataType for f in WAREHOUSE[table].fields} if table in WAREHOUSE else {}
+    return df.select(*[F.col(c).try_cast(declared[c]).alias(c) if c in declared else F.col(c) for c in df.columns])
+
+
 def append(df: DataFrame, root: str, table: str, batch: str | None = None) -> None:
     """Append a frame to a table of the folder, partitioned by load and match.
 
@@ -161,7 +169,7 @@ def build(spark: SparkSession, matches: str, root: str, batch: str | None = None
         try:
             rows = read_sources(spark, f"{matches.rstrip('/')}/*/{table}", schema, folder)
         except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 raise
             continue
         merge_into(spark, root, table, rows, order=("match_id",), batch=batch)

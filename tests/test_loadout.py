@@ -104,9 +104,9 @@ def games(spark):
 
 def test_missing_loadout_policies(games, teams):
     rounds, kills = games
-    as_reference = an.category_conversion(rounds, kills, teams).first()
+    counted = an.category_conversion(rounds, kills, teams).first()
     # Round 1 twice (tie), 2 and 3 without, 4 has no loadout, 5 has no known side.
-    assert (as_reference.a, as_reference.b, as_reference.c, as_reference.d) == (3, 1, 2, 0)
+    assert (counted.a, counted.b, counted.c, counted.d) == (3, 1, 2, 0)
     dropped = an.category_conversion(rounds, kills, teams, null_flag="drop").first()
     assert (dropped.a, dropped.b, dropped.c, dropped.d) == (2, 0, 2, 0)
 

@@ -11,6 +11,8 @@ from roundscope.functions import text as tx
 from roundscope.operators import columns as cols
 from roundscope.operators import snapshots as snap
 from roundscope.plans import ingest as ing
+from roundscope.schemas import WAREHOUSE
+from roundscope.sources import warehouse
 
 
 def _hash(*parts):
@@ -152,6 +154,28 @@ def test_ingest(match, rows):
         ing.ingest({"kills": match[0]["kills"]}, match[1])
 
 
+def test_match_folders_to_warehouse(spark, match, rows, tmp_path):
+    bundle, header = match
+    matches, root = str(tmp_path / "matches"), str(tmp_path / "warehouse")
+    for name in ("m1", "m2"):
+        manifest = {r["table"]: r["rows"] for r in ing.write(bundle, header, f"{matches}/{name}", batch="b").collect()}
+        assert manifest["events_shots"] == 3 and manifest["bomb"] == manifest["events_bomb"] == 2 and manifest["rounds"] == 3
+    ing.write(bundle, header, f"{matches}/m2", ["rounds"], batch="b")  # a repeated batch replaces itself
+    assert "events_shots" in warehouse.build(spark, matches, root)
+    found = {t: warehouse.read_table(spark, root, t).count() for t in WAREHOUSE}
+    # Equal file names give equal event ids, so the second match adds none; loadouts are unique per match.
+    assert found == {
+        "rounds": 6, "kills_slim": 2, "events_shots": 3, "events_grenades": 1, "events_bomb": 2, "grenades_summary": 2, "header": 4, "round_loadouts": 4,
+    }
+    straight = str(tmp_path / "straight")
+    named = {n: df.withColumn("match_id", F.lit("m1")) for n, df in bundle.items()}
+    for _ in range(2):
+        ing.load(named, header.withColumn("match_id", F.lit("m1")), straight, batch="b")
+    for t in WAREHOUSE:
+        one = warehouse.read_table(spark, root, t).filter("match_id = 'm1'")
+        assert rows(warehouse.read_table(spark, straight, t)) == rows(one), t
+
+
 def test_inspector(spark, match):
     ticks = match[0]["ticks"].withColumnsRenamed({"steamID": "steamid"}).withColumn("team_num", F.when(F.col("side") == "ct", 3).when(F.col("side") == "t", 2).otherwise(1))
     out = ing.inspector(ticks, match[0]["rounds"], ["demo_file"]).collect()
