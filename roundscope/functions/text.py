@@ -95,8 +95,3 @@ def stable_id(*parts, length: int = 16) -> Column:
     for p in parts:
         pieces += [F.coalesce(_col(p).cast("string"), F.lit("None")), F.lit("|")]
     return F.substring(F.sha1(F.concat(*pieces).cast("binary")), 1, length)
-
-
-def text_or_none(template: str, *cols) -> Column:
-    """Formatted text."""
-    return F.format_string(template, *cols)

@@ -15,16 +15,20 @@ from ..functions.text import number, whole
 from ..session import broadcast_within
 
 
-def first_value(c: str, *order) -> Column:
+def _known(c: str, order: Sequence[str]) -> Column:
+    """The order and the value where the value is known."""
+    pair = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col(c).alias("v"))
+    return F.when(F.col(c).isNotNull(), pair)
+
+
+def first_value(c: str, *order: str) -> Column:
     """First non-null value by order; the least value where the order ties."""
-    keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    return F.min(F.when(F.col(c).isNotNull(), F.struct(*[k.alias(f"o{i}") for i, k in enumerate(keys)], F.col(c).alias("v"))))["v"]
+    return F.min(_known(c, order))["v"]
 
 
-def last_value(c: str, *order) -> Column:
+def last_value(c: str, *order: str) -> Column:
     """Last non-null value by order; the greatest value where the order ties."""
-    keys = [F.col(o) if isinstance(o, str) else o for o in order]
-    return F.max(F.when(F.col(c).isNotNull(), F.struct(*[k.alias(f"o{i}") for i, k in enumerate(keys)], F.col(c).alias("v"))))["v"]
+    return F.max(_known(c, order))["v"]
 
 
 def first_per_group(
@@ -131,8 +135,10 @@ def trajectory_summary(
         points = points.withColumn("grenadeId", F.lit(None).cast("string")).withColumn("_by_id", F.lit(False))
 
     points = points.dropna(subset=["round", "tick"])
-    key = F.when(F.col("_by_id"), F.struct(F.col("grenadeId"), F.lit(None).cast("string").alias("thrower"), F.lit(None).cast("string").alias("type"))).otherwise(
-        F.struct(F.lit(None).cast(points.schema["grenadeId"].dataType).alias("grenadeId"), F.col("throwerSteamID").cast("string").alias("thrower"), F.col("grenadeType").alias("type"))
+    key = F.struct(
+        F.when(F.col("_by_id"), F.col("grenadeId")).alias("grenadeId"),
+        F.when(~F.col("_by_id"), F.col("throwerSteamID").cast("string")).alias("thrower"),
+        F.when(~F.col("_by_id"), F.col("grenadeType")).alias("type"),
     )
     aggregates = [
         F.min("tick").alias("start_tick"),

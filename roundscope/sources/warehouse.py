@@ -76,7 +76,8 @@ def new_rows(
         taken = target.select(*key)
         if source_rows is not None and source_rows <= BROADCAST_ROWS:
             taken = taken.join(F.broadcast(keyed.select(*key)), list(key), "left_semi")
-        keyed = keyed.join(taken, list(key), "left_anti")
+        # Distinct before the shuffle: a key the target repeats very often travels once per task.
+        keyed = keyed.join(taken.distinct(), list(key), "left_anti")
     return keyed.select(*source.columns).unionByName(unkeyed)
 
 
