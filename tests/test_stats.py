@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import math
+import subprocess
+import sys
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from roundscope.functions import stats, tails
@@ -72,6 +75,13 @@ def test_binomial_by_enumeration(n, data, p):
     assert tails.binomial_test(k, n, p) == pytest.approx(expected, rel=1e-9)
 
 
+def test_functions_travel_without_the_package(tmp_path):
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(lambda: (tails.fisher_exact(3, 1, 1, 3), tails.binomial_test(1, 9))))
+    code = "import pickle; print(*pickle.load(open('f.pkl', 'rb'))())"
+    found = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True).stdout
+    assert [float(x) for x in found.split()] == [tails.fisher_exact(3, 1, 1, 3), tails.binomial_test(1, 9)]
+
+
 def test_exact_tests_take_huge_counts():
     assert tails.binomial_test(5 * 10**10 + 300_000, 10**11) == pytest.approx(0.0577798, rel=1e-4)
     assert 0.0 <= tails.fisher_exact(10**10, 10**10 + 300_000, 10**10, 10**10) <= 1.0
