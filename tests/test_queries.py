@@ -19,10 +19,10 @@ def con():
 
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"ingest_stream_merge"}
+    assert set(entry.QUERIES) - set(entry.ORACLE) == {"ingest_stream_merge"}
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(entry.ORACLE))
 def test_against_sql(spark, con, name):
     assert compare.differences(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []
 
