@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundscope.llm import simhash
+from roundscope.llm import quality, simhash, urls
 from roundscope.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,67 @@ def query(fn):
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@query
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read(spark, sf_dir, "pages"), URL_RULES)
+
+
+ORACLE["op10_urls"] = r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), '') AS query,
+    regexp_extract(regexp_extract(html, '(?is)<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>'), '(?is)\bhref\s*=\s*["'']?([^"''\s>]+)', 1) AS canonical,
+    regexp_extract(regexp_extract(html, '(?is)<meta\b[^>]*\bhttp-equiv\s*=\s*["'']?refresh\b[^>]*>'), '(?is)\burl\s*=\s*["'']?([^"''\s>;]+)', 1) AS redirect
+  FROM pages),
+links AS (
+  SELECT page_id, host, path, link FROM parts, LATERAL (SELECT unnest([canonical, redirect]) AS link) WHERE coalesce(link, '') <> '' AND host <> ''),
+full_links AS (
+  SELECT page_id, CASE WHEN starts_with(link, '#') THEN NULL WHEN contains(link, '://') THEN link
+    WHEN starts_with(link, '//') THEN 'http:' || link WHEN regexp_matches(link, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL
+    WHEN starts_with(link, '/') THEN 'http://' || host || link
+    ELSE 'http://' || host || coalesce(nullif(regexp_extract(path, '(?s)^(.*/)', 1), ''), '/') || link END AS target
+  FROM links),
+targets AS (
+  SELECT page_id,
+    translate(regexp_extract(target, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(target, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    regexp_extract(target, '(?s)^.*?://[^?#]*\?([^#]*)', 1) AS query
+  FROM full_links WHERE target IS NOT NULL),
+places AS (SELECT page_id, true AS own, host, path, query FROM parts UNION ALL SELECT page_id, false, host, path, query FROM targets),
+addressed AS (
+  SELECT *, CASE WHEN host <> '' THEN host || path ||
+    CASE WHEN regexp_replace(regexp_replace(query, '(^|&)utm_[^&]*', '', 'g'), '^&', '') <> ''
+      THEN '?' || regexp_replace(regexp_replace(query, '(^|&)utm_[^&]*', '', 'g'), '^&', '') ELSE '' END END AS address
+  FROM places),
+rules(rule, host, path, verdict) AS (
+  VALUES ('net/', 'net', '/', 'block'), ('example.net/en/', 'example.net', '/en/', 'allow'),
+    ('example.com/de/', 'example.com', '/de/', 'block'), ('org/fr/', 'org', '/fr/', 'allow')),
+fits AS (
+  SELECT a.host, a.path, arg_max(r.rule, length(r.rule)) AS rule, arg_max(r.verdict, length(r.rule)) AS verdict
+  FROM (SELECT DISTINCT host, path FROM addressed) a JOIN rules r
+    ON (a.host = r.host OR ends_with(a.host, '.' || r.host)) AND starts_with(a.path, r.path)
+  GROUP BY a.host, a.path),
+edges AS (
+  SELECT DISTINCT o.address AS a, t.address AS b FROM addressed o JOIN addressed t USING (page_id)
+  WHERE o.own AND NOT t.own AND o.address IS NOT NULL AND t.address IS NOT NULL),
+both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
+reached(address) AS (
+  SELECT DISTINCT d.address FROM addressed d JOIN fits f ON d.host = f.host AND d.path = f.path AND f.verdict = 'block' WHERE d.address IN (SELECT a FROM both_ways)
+  UNION
+  SELECT e.b FROM reached r JOIN both_ways e ON e.a = r.address)
+SELECT o.page_id, o.host, o.path, f.rule,
+  coalesce(f.verdict, CASE WHEN o.address IN (SELECT address FROM reached) THEN 'block' ELSE 'allow' END) AS verdict
+FROM addressed o LEFT JOIN fits f ON o.host = f.host AND o.path = f.path WHERE o.own
+"""
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean_lines(read(spark, sf_dir, "documents")).drop("clean_text")
