@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roundscope.session import shared_folder
 
+# Functions that run in tasks travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -38,27 +43,32 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, learn: Column) -> DataFrame:
-    """(doc_id, text, label) of rows to learn from; a document labelled twice keeps its greatest label."""
+def label_counts(labels: DataFrame, label: str, learn: Column) -> dict[int, int]:
+    """How many documents to learn from carry each label."""
+    return {r["label"]: r["n"] for r in _marks(labels, label, learn).groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _marks(labels: DataFrame, label: str, learn: Column) -> DataFrame:
+    """(doc_id, label 0/1); a document labelled twice has its greatest label."""
     marks = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & learn)
-    marks = marks.groupBy("doc_id").agg(F.max(F.col(label)).cast("int").alias("label"))
-    return text_rows(docs).join(marks, "doc_id")
+    marks = marks.groupBy("doc_id").agg(F.max(F.col(label)).alias("label"))
+    return marks.select("doc_id", F.when(F.col("label") > 0, 1).otherwise(0).alias("label"))
 
 
-def bounded_sample(rows: DataFrame, max_rows: int, max_bytes: int) -> pd.DataFrame:
-    """At most ``max_rows`` whole texts and about ``max_bytes`` of text per label, in an order fixed by content.
+def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, max_rows: int, max_bytes: int) -> pd.DataFrame:
+    """(text, label) of labelled documents to fit a model on, at most ``max_rows`` and ``max_bytes`` of text a label.
 
-    The order is that of a hash of id and text, so the sample is alike on every run and never depends on the
-    layout of the files. Texts longer than a hundredth of the byte bound are left to the scored rows.
+    ``learn`` is a condition on the label rows. Documents are taken in the order of a hash of their id, so the sample
+    does not depend on the layout of the files. Only its ids, never more than two times ``max_rows``, are broadcast.
+    Texts over a hundredth of the byte bound are not learned from.
     """
-    longest = max_bytes // 100
-    ordered = rows.where(F.octet_length("text") <= longest).withColumn("_at", F.xxhash64("doc_id", "text"))
-    parts = []
-    for value in (0, 1):
-        own = ordered.where(F.col("label") == value).orderBy("_at", "doc_id").limit(max_rows).toPandas()
-        used = own["text"].map(lambda t: len(t.encode())).cumsum() if len(own) else pd.Series(dtype="int64")
-        parts.append(own[(used <= max_bytes).to_numpy(dtype=bool)])
-    return pd.concat(parts, ignore_index=True)[["doc_id", "text", "label"]]
+    marks = _marks(labels, label, learn).withColumn("at", F.xxhash64("doc_id"))
+    ids = [marks.where(F.col("label") == v).orderBy("at", "doc_id").limit(max_rows) for v in (0, 1)]
+    rows = text_rows(docs).where(F.octet_length("text") <= max_bytes // 100)
+    rows = rows.join(F.broadcast(ids[0].union(ids[1])), "doc_id").dropDuplicates(["doc_id"])
+    found = rows.select("at", "doc_id", "text", "label").toPandas().sort_values(["at", "doc_id"], kind="stable")
+    used = found["text"].map(lambda t: len(t.encode())).astype("int64").groupby(found["label"]).cumsum()
+    return found[used <= max_bytes][["text", "label"]].reset_index(drop=True)
 
 
 def frames_by_bytes(batches: Iterator[pd.DataFrame], limit: int = 8 << 20, column: str = "text") -> Iterator[pd.DataFrame]:

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundscope.llm import quality, simhash, urls
-from roundscope.llm.common import read
+from roundscope.llm import classifier, language, quality, simhash, toxicity, urls
+from roundscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -87,3 +87,32 @@ FROM addressed o LEFT JOIN fits f ON o.host = f.host AND o.path = f.path WHERE o
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(read(spark, sf_dir, "documents")).drop("clean_text")
+
+
+def _judged(scores: DataFrame, folds: int, held: int, threshold: float) -> DataFrame:
+    """The scores with their fold and verdict; a row without an id is never learned from, nor held out."""
+    held_out = F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False))
+    return scores.select("doc_id", held_out.alias("held_out"), "score", F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op1_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    net = classifier.learn(docs, labels, "quality", fold(F.col("doc_id"), 5) != 0)
+    return _judged(classifier.score(docs, net), 5, 0, classifier.THRESHOLD)
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, "toxic", fold(F.col("doc_id"), 4) != 2)
+    return _judged(toxicity.score(docs, model), 4, 2, toxicity.THRESHOLD)
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    learned = language.prototypes(docs, fold(F.col("doc_id"), 4) != 2)
+    found = language.predict(docs, learned)
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
