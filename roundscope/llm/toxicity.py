@@ -29,11 +29,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 #: Bounds of the sample that the dictionaries are trained on, for each label.
 SAMPLE_ROWS, SAMPLE_BYTES = 1500, 4_000_000
 THRESHOLD = 0.3
+FEATURES = 7
+LEAST_SAVED = 3
 WINDOW, STEP = 32, 16
 GRAM = 5
 BASE_BYTES, PART_BYTES = 8192, 8192
-#: Likelihood ratio and times that a gram or word part must be commoner among toxic texts.
-LEAST_RATIO, LEAST_TIMES = 18.0, 8.0
+#: How much commoner a gram or word part must be among toxic texts: least likelihood ratios with least factors.
+LEAST_RATIOS = ((16.0, 8.0), (60.0, 3.0))
 
 
 @dataclass(frozen=True)
@@ -72,11 +74,14 @@ def compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
     return zstandard.ZstdCompressor(dict_data=content, compression_params=settings)
 
 
-def features(text: str, ordinary, toxic) -> tuple[float, float, float]:
-    """Greatest and second saving over the windows, and the logarithm of their number."""
-    saved = [len(ordinary(w)) - len(toxic(w)) for w in windows(plain(text))]
-    best = sorted(saved[:2], reverse=True) if len(saved) < 3 else sorted(saved, reverse=True)[:2]
-    return max(0, best[0]), max(0, best[1]) if len(best) > 1 else 0, float(np.log(len(saved)))
+def features(text: str, ordinary, toxic) -> tuple[float, ...]:
+    """What a text's windows save with the toxic dictionary: the four greatest savings, how many windows save
+    ``LEAST_SAVED`` bytes, the mean saving, and how many windows there are (both numbers as logarithms)."""
+    saved = sorted((len(ordinary(w)) - len(toxic(w)) for w in windows(plain(text))), reverse=True)
+    top = [max(0, x) for x in (saved[:4] + [0] * 4)[:4]]
+    many = sum(x >= LEAST_SAVED for x in saved)
+    mean = sum(x for x in saved if x > 0) / len(saved)
+    return (*top, float(np.log1p(many)), mean, float(np.log(len(saved))))
 
 
 def _grams(data: bytes, size: int) -> np.ndarray:
@@ -122,7 +127,20 @@ def _enriched(toxic_df: np.ndarray, other_df: np.ndarray, n_toxic: int, n_other:
         + term(n_toxic - toxic_df, n_toxic * (1 - share))
         + term(n_other - other_df, n_other * (1 - share))
     )
-    return (ratio > LEAST_RATIO) & (toxic_df / n_toxic > LEAST_TIMES * (other_df + 1) / n_other)
+    times = toxic_df / n_toxic / ((other_df + 1) / n_other)
+    return np.any([(ratio > r) & (times > t) for r, t in LEAST_RATIOS], axis=0)
+
+
+def _word_parts(run: bytes) -> list[bytes]:
+    """A run of telling bytes cut into words; a blank stays where the run tells that a word begins or ends there."""
+    ended = run.replace(b" ", b" \0 ").split(b"\0")
+    return [p for p in ended if len(p.strip()) > 3]
+
+
+def _pieces(part: bytes) -> set[bytes]:
+    """A word part and all its pieces of a gram's size or more: stems recur where whole words do not."""
+    n = len(part)
+    return {part[a:z] for a in range(n) for z in range(a + GRAM, n + 1)} | {part}
 
 
 def telling_parts(toxic: list[bytes], other: list[bytes]) -> list[bytes]:
@@ -145,15 +163,18 @@ def telling_parts(toxic: list[bytes], other: list[bytes]) -> list[bytes]:
         for j in range(GRAM):
             mark[hits + j] = 1
         edges = np.flatnonzero(np.diff(np.r_[np.int8(0), mark]))
-        parts = {p for a, z in zip(edges[::2], edges[1::2]) for p in data[a:z].split() if len(p) > 3}
+        parts = {p for a, z in zip(edges[::2], edges[1::2]) for w in _word_parts(data[a:z]) for p in _pieces(w)}
         found.update(parts)
-    pure = []
     joined = b"\n".join(other)
-    for part, n in found.most_common():
-        elsewhere = joined.count(part)
-        if n >= 3 and n / len(toxic) > LEAST_TIMES * (elsewhere + 1) / len(other):
-            pure.append(part)
-    return pure
+    parts = [p for p, n in found.most_common() if n > 4]
+    inside = np.array([found[p] for p in parts], dtype=float)
+    elsewhere = np.minimum([joined.count(p) for p in parts], len(other)).astype(float)
+    pure = _enriched(inside, elsewhere, len(toxic), len(other)) if parts else []
+    kept: list[bytes] = []
+    for part in sorted((p for p, ok in zip(parts, pure) if ok), key=len, reverse=True):
+        if not any(part in longer for longer in kept):
+            kept.append(part)
+    return sorted(kept, key=lambda p: (-found[p], p))
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
@@ -184,18 +205,18 @@ def fit(sample: pd.DataFrame, counts: dict[int, int]) -> Model:
         base = b"".join(pieces)[-BASE_BYTES:]  # too few texts to train on: their own bytes serve
     parts, size = [], 0
     for part in telling_parts(toxic, other):
-        if size + len(part) + 1 > PART_BYTES:
+        if size + len(part) > PART_BYTES:
             break
         parts.append(part)
-        size += len(part) + 1
-    content = b" ".join(reversed(parts)) + b" "
+        size += len(part)
+    content = b"".join(reversed(parts))
     filler = np.random.default_rng(0).integers(248, 256, len(content), dtype=np.uint8).tobytes()
     model = Model(base + filler, base + content, ())
     total = sum(counts.values())
     share = counts.get(1, 0) / total if total else 0.0
     if not len(toxic) or not len(other):
         odds = np.log(max(share, 1e-6) / max(1 - share, 1e-6))
-        return Model(model.ordinary, model.toxic, (float(odds), 0.0, 0.0, 0.0))
+        return Model(model.ordinary, model.toxic, (float(odds), *[0.0] * FEATURES))
     pair = [compressor(d).compress for d in (model.ordinary, model.toxic)]
     x = np.array([(1.0, *features(t, *pair)) for t in sample["text"]])
     stands_for = np.array([counts.get(int(v), 1) / max(1, (label == v).sum()) for v in label])
@@ -210,7 +231,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, condition: Column, max
 
 
 def _scores(model: Model, texts: pd.Series, pair) -> np.ndarray:
-    x = np.array([(1.0, *features(t, *pair)) for t in texts], dtype=float).reshape(len(texts), 4)
+    x = np.array([(1.0, *features(t, *pair)) for t in texts], dtype=float).reshape(len(texts), 1 + FEATURES)
     return 1 / (1 + np.exp(-np.clip(x @ np.array(model.weights), -30, 30)))
 
 
