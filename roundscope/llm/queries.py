@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundscope.llm import classifier, language, quality, simhash, toxicity, urls
+from roundscope.llm import classifier, language, packing, quality, simhash, tokens, toxicity, urls
 from roundscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +117,22 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = language.predict(docs, learned)
     held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def byte_bpe_ranks() -> dict[bytes, int]:
+    return tokens.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def word_bpe_json() -> str:
+    with open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8") as file:
+        return file.read()
+
+
+@query
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.digests(read(spark, sf_dir, "documents"), byte_bpe_ranks(), public_tokenizers.PATTERN)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), word_bpe_json())
