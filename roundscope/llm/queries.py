@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundscope.llm import classifier, language, packing, quality, simhash, tokens, toxicity, urls
+from roundscope.llm import classifier, fingerprints, language, packing, quality, simhash, tokens, toxicity, urls
 from roundscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,18 @@ def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), word_bpe_json())
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.edited(read(spark, sf_dir, "documents"))
+    own, changed = F.col("packed"), F.col("edited_packed")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprints.shown(own).alias("fingerprint"),
+        fingerprints.shown(changed).alias("edited_fingerprint"),
+        fingerprints.likeness(own, changed).alias("near_edited"),
+        fingerprints.likeness(own, F.col("next_packed")).alias("near_next"),
+    )
