@@ -1,12 +1,13 @@
-"""Byte-level BPE encoding and decoding over a global table of distinct words.
+"""Byte-level BPE encoding and decoding over a global shuffle of distinct words.
 
 1. Texts are cut into pre-tokens (words) block by block. A document keeps the places of its words as numbers within
    its block; a block hands on each of its distinct words once.
-2. The distinct words of all blocks are shuffled together; each is encoded once, by joining pairs of least rank.
-3. The ids are joined back to the blocks' words, and each document is put together again by its places.
+2. The words of all blocks are shuffled so that equal words meet; each distinct word is encoded once, by joining
+   pairs of least rank, and its ids go back to every block that holds it.
+3. Blocks and ids are joined, and each document is put together by its places.
 4. Decoding joins ids to the table of token bytes and puts the bytes together in the order of the ids.
 
-A frequent word is at most one row per block, whatever its count, and a block is bounded by its bytes of text (a
+A frequent word is at most one row per block, whatever its count, and a block is bounded by its characters of text (a
 single longer text is a block by itself), so no step gathers what grows with the corpus.
 """
 
@@ -88,39 +89,77 @@ def unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i4").reshape(-1)
 
 
+class WordNumbers:
+    """Numbers the pre-tokens of a block as they are met.
+
+    Before a single blank in front of a visible character a pre-token always ends, whatever stands around it, so the
+    pieces between such blanks are looked up whole.
+    """
+
+    def __init__(self, find):
+        self.find, self.numbers, self.pieces = find, {}, {}
+
+    def _number(self, text: str) -> list[int]:
+        numbers = self.numbers
+        return [numbers.setdefault(w, len(numbers)) for w in self.find(text)]
+
+    def places(self, text: str) -> list[int]:
+        if _UNCUT.search(text):
+            return self._number(text)
+        first, *rest = text.split(" ")
+        at, known = self._number(first), self.pieces
+        for piece in rest:
+            found = known.get(piece)
+            if found is None:
+                found = known[piece] = self._number(" " + piece)
+            at += found
+        return at
+
+
+#: A blank that white space or nothing follows: such texts are cut as a whole.
+_UNCUT = regex.compile(r" (?:\s|$)")
+
+
 def word_places(docs: DataFrame, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A stored table of two kinds of rows: documents (places, ``word`` null) and distinct words of blocks.
 
-    Columns: block, doc_id, number (of the word in its block), word (bytes), places (``pack``).
+    Columns: block, doc_id, number (of the word in its block), word (bytes), places (``pack``). Blocks have random
+    names, which the stored table settles once for all that reads it.
     """
     rows = text_rows(docs, id_col, text_col)
-    id_type = type_of(rows, "doc_id")
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = regex.compile(pattern).findall
         for frame in frames_by_bytes(batches, BLOCK_CHARS):
-            block, numbers, places = uuid.uuid4().hex, {}, []
-            for text in frame["text"]:
-                found = find(text)
-                places.append(pack(np.array([numbers.setdefault(w, len(numbers)) for w in found], dtype="<i4")))
+            block, words = uuid.uuid4().int >> 65, WordNumbers(find)
+            places = [pack(np.array(words.places(text), dtype="<i4")) for text in frame["text"]]
             yield pd.DataFrame({"block": block, "doc_id": frame["doc_id"], "number": None, "word": None, "places": places})
-            words = [w.encode() for w in numbers]
-            yield pd.DataFrame({"block": block, "doc_id": None, "number": np.arange(len(words)), "word": words, "places": None})
+            spelled = [w.encode() for w in words.numbers]
+            yield pd.DataFrame({"block": block, "doc_id": None, "number": np.arange(len(spelled)), "word": spelled, "places": None})
 
-    return stored(rows.mapInPandas(step, f"block string, doc_id {id_type}, number int, word binary, places binary"))
+    return stored(rows.mapInPandas(step, f"block long, doc_id {type_of(rows, 'doc_id')}, number int, word binary, places binary"))
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(word, ids array): each distinct word of a column ``word`` once."""
+    """(owner, number, ids): rows of (block, number, word) with the word's ids as little-endian int32.
+
+    Equal words meet in one task, side by side, where the first one is encoded.
+    """
     shared = words.sparkSession.sparkContext.broadcast(ranks)
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
+        table, last, own = shared.value, None, b""
         for frame in batches:
-            ids = [(encode_word if len(w) < 64 else encode_long_word)(bytes(w), table) for w in frame["word"]]
-            yield pd.DataFrame({"word": frame["word"], "ids": ids})
+            ids = []
+            for word in frame["word"]:
+                if word != last:
+                    last = word
+                    own = np.array((encode_word if len(word) < 64 else encode_long_word)(bytes(word), table), dtype="<i4").tobytes()
+                ids.append(own)
+            yield pd.DataFrame({"owner": frame["block"], "number": frame["number"], "ids": ids})
 
-    return words.select("word").distinct().mapInPandas(step, "word binary, ids array<int>")
+    dealt = words.select("block", "number", "word").repartition("word").sortWithinPartitions("word")
+    return dealt.mapInPandas(step, "owner long, number int, ids binary")
 
 
 def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
@@ -149,20 +188,21 @@ def coded_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, read
     words; repeated rows are coded alike and all stay; other columns are not read; an empty table gives no rows.
     """
     table = word_places(docs, pattern, id_col, text_col)
-    words = table.where("word is not null").select("block", "number", "word")
-    coded = stored(encode_words(words, ranks))
-    spelled = coded.join(decode(coded, token_table(docs.sparkSession, ranks), "word"), "word")
-    found = words.join(spelled, "word").select(F.col("block").alias("owner"), "number", "ids", "decoded")
+    coded = encode_words(table.where("word is not null"), ranks)
     texts = table.where("word is null").select("block", "doc_id", "places")
+    # The table of token bytes: as large as the vocabulary, whatever the corpus.
+    shared = docs.sparkSession.sparkContext.broadcast({i: token for token, i in ranks.items()})
     names = ["doc_id", *[c.split()[0] for c in schema.split(",")]]
 
     def assemble(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        token = shared.value
         order = np.argsort(right["number"].to_numpy(dtype=np.int64))
-        finish = reader([right["ids"].iat[i] for i in order], [bytes(right["decoded"].iat[i]) for i in order])
+        ids = [np.frombuffer(right["ids"].iat[i], dtype="<i4").tolist() for i in order]
+        finish = reader(ids, [b"".join([token[i] for i in own]) for own in ids])
         rows = [(doc_id, *finish(unpack(places).tolist())) for doc_id, places in zip(left["doc_id"], left["places"])]
         return pd.DataFrame(rows, columns=names)
 
-    return texts.groupBy("block").cogroup(found.groupBy("owner")).applyInPandas(assemble, f"doc_id {type_of(texts, 'doc_id')}, {schema}")
+    return texts.groupBy("block").cogroup(coded.groupBy("owner")).applyInPandas(assemble, f"doc_id {type_of(texts, 'doc_id')}, {schema}")
 
 
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -170,7 +210,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
 
     def reader(ids, decoded):
         def finish(numbers: list[int]) -> tuple:
-            return [int(i) for n in numbers for i in ids[n]], b"".join([decoded[n] for n in numbers])
+            return [i for n in numbers for i in ids[n]], b"".join([decoded[n] for n in numbers])
 
         return finish
 
