@@ -28,14 +28,14 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker keeps; beyond it the cache starts anew.
-CACHE_WORDS = 300_000
+#: Words whose ids a worker keeps from task to task; beyond it the cache starts anew.
+CACHE_WORDS = 1_000_000
 #: Pieces of one length that are ranked in one window.
 RANKED_ROWS = 100_000
 
 
 class WordIds:
-    """Ids of words of a tokenizer that drops white space, as little-endian bytes, cached."""
+    """Ids of the words of a tokenizer that drops white space, as little-endian bytes, cached."""
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,16 +45,22 @@ class WordIds:
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
 
-    def ids(self, text: str) -> bytes:
-        """Ids of a text. It is cut at blanks and line ends only, which no token of the tokenizer crosses."""
-        words = text.replace("\n", " ").split(" ")
-        fresh = [w for w in {*words} if w not in self.known]
-        if fresh:
-            if len(self.known) + len(fresh) > CACHE_WORDS:
-                self.known, fresh = {}, [*{*words}]
-            found = self.tokenizer.encode_batch(fresh, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(fresh, found))
-        return b"".join(map(self.known.__getitem__, words))
+    def learn(self, words: set[str]) -> None:
+        """Make sure that the ids of these words are known."""
+        fresh = [w for w in words if w not in self.known]
+        if len(self.known) + len(fresh) > CACHE_WORDS:
+            self.known, fresh = {}, [*words]
+        for a in range(0, len(fresh), 10_000):
+            part = fresh[a : a + 10_000]
+            found = self.tokenizer.encode_batch(part, add_special_tokens=False)
+            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found))
+
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text. Texts are cut at blanks and line ends only, which no token of the tokenizer crosses."""
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        self.learn(set().union(*cut))
+        for words in cut:
+            yield b"".join(map(self.known.__getitem__, words))
 
 
 def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -62,15 +68,18 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_i
 
     Null and empty texts are one piece of the end id. Repeated rows are repeated pieces; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
+    shared = docs.sparkSession.sparkContext.broadcast({"json": tokenizer_json})
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, size = WordIds(shared.value), 4 * capacity
+        own, size = shared.value, 4 * capacity
+        if "words" not in own:  # a worker keeps the broadcast value, and with it the words, from task to task
+            own["words"] = WordIds(own["json"])
+        words = own["words"]
         for frame in frames_by_bytes(batches):
             out = []
-            for doc_id, text in zip(frame["doc_id"], frame["text"]):
-                ids = words.ids(text) + end
+            for doc_id, ids in zip(frame["doc_id"], words.ids(list(frame["text"]))):
+                ids += end
                 for n, a in enumerate(range(0, len(ids), size)):
                     part = ids[a : a + size]
                     out.append((doc_id, n, a // 4, len(part) // 4, zlib.crc32(part)))
