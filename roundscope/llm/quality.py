@@ -179,4 +179,6 @@ def keep_good(docs: DataFrame, text_col: str = "text", short_line: int = SHORT_L
     """Rows of documents that are kept, with all columns as they were."""
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_row")
     rows = docs.select(whole, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("q_text"))
-    return judged_rows(rows, "q_text", short_line, least_share).where("kept").select("q_row.*")
+    judged = judged_rows(rows, "q_text", short_line, least_share)
+    # The row number keeps the filter above the columns it reads; below them Spark would repeat them in each other.
+    return judged.withColumn("q_at", F.monotonically_increasing_id()).where("kept and q_at >= 0").select("q_row.*")

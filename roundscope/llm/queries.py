@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundscope.llm import classifier, fingerprints, language, packing, quality, simhash, tokens, toxicity, urls
+from roundscope.llm import classifier, dedup, fingerprints, language, packing, quality, simhash, tokens, toxicity, urls
 from roundscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,8 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprints.likeness(own, changed).alias("near_edited"),
         fingerprints.likeness(own, F.col("next_packed")).alias("near_next"),
     )
+
+
+@query
+def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.kept_digests(read(spark, sf_dir, "documents"))

@@ -32,7 +32,7 @@ THRESHOLD = 0.3
 FEATURES = 7
 LEAST_SAVED = 3
 WINDOW, STEP = 32, 16
-GRAM = 5
+GRAM, LONGEST_PART = 5, 24
 BASE_BYTES, PART_BYTES = 8192, 8192
 #: How much commoner a gram or word part must be among toxic texts: least likelihood ratios with least factors.
 LEAST_RATIOS = ((16.0, 8.0), (60.0, 3.0))
@@ -140,7 +140,7 @@ def _word_parts(run: bytes) -> list[bytes]:
 def _pieces(part: bytes) -> set[bytes]:
     """A word part and all its pieces of a gram's size or more: stems recur where whole words do not."""
     n = len(part)
-    return {part[a:z] for a in range(n) for z in range(a + GRAM, n + 1)} | {part}
+    return {part[a:z] for a in range(n) for z in range(a + GRAM, min(n, a + LONGEST_PART) + 1)}
 
 
 def telling_parts(toxic: list[bytes], other: list[bytes]) -> list[bytes]:
