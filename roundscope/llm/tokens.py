@@ -1,13 +1,14 @@
 """Byte-level BPE encoding and decoding over a global shuffle of distinct words.
 
 1. Texts are cut into pre-tokens (words) block by block. A document keeps the places of its words as numbers within
-   its block; a block hands on each of its distinct words once.
-2. The words of all blocks are shuffled so that equal words meet; each distinct word is encoded once, by joining
-   pairs of least rank, and its ids go back to every block that holds it.
-3. Blocks and ids are joined, and each document is put together by its places.
+   its block; a block hands on each of its distinct words once, packed by a hash of the word.
+2. The words of all blocks are shuffled by that hash, so that equal words meet; each distinct word is encoded once,
+   by joining pairs of least rank, and its ids go back to every block that holds it.
+3. Blocks and ids are joined, and each document is put together by its places. Blocks are stored in buckets, so
+   only the ids move.
 4. Decoding joins ids to the table of token bytes and puts the bytes together in the order of the ids.
 
-A frequent word is at most one row per block, whatever its count, and a block is bounded by its characters of text (a
+A frequent word is handed on once per block, whatever its count, and a block is bounded by its characters of text (a
 single longer text is a block by itself), so no step gathers what grows with the corpus.
 """
 
@@ -18,6 +19,7 @@ import hashlib
 import heapq
 import sys
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roundscope.llm.common import frames_by_bytes, text_rows, type_of
-from roundscope.session import stored
+from roundscope.session import new_folder
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -120,46 +122,74 @@ class WordNumbers:
 _UNCUT = regex.compile(r" (?:\s|$)")
 
 
+def pack_lists(parts: list[bytes]) -> bytes:
+    """Byte strings, each after its length, compressed."""
+    lengths = np.array([len(p) for p in parts], dtype="<u4")
+    return zstandard.compress(np.array([len(parts)], dtype="<u4").tobytes() + lengths.tobytes() + b"".join(parts), 3)
+
+
+def unpack_lists(data: bytes) -> list[bytes]:
+    data = zstandard.decompress(data)
+    n = int(np.frombuffer(data, "<u4", 1)[0])
+    ends = (np.cumsum(np.frombuffer(data, "<u4", n, 4)) + 4 * (n + 1)).tolist()
+    return [data[a:b] for a, b in zip([4 * (n + 1), *ends], ends)]
+
+
 def word_places(docs: DataFrame, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A stored table of two kinds of rows: documents (places, ``word`` null) and distinct words of blocks.
+    """A stored table, in buckets of whole blocks, of two kinds of rows.
 
-    Columns: block, doc_id, number (of the word in its block), word (bytes), places (``pack``). Blocks have random
-    names, which the stored table settles once for all that reads it.
+    Documents: block, doc_id, places (``pack``). Words: block, part (a hash of the words), first (number of the first
+    one), words (``pack_lists``). Blocks have random names, which the stored table settles once for all that reads it.
     """
-    rows = text_rows(docs, id_col, text_col)
+    spark, rows = docs.sparkSession, text_rows(docs, id_col, text_col)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = regex.compile(pattern).findall
         for frame in frames_by_bytes(batches, BLOCK_CHARS):
-            block, words = uuid.uuid4().int >> 65, WordNumbers(find)
-            places = [pack(np.array(words.places(text), dtype="<i4")) for text in frame["text"]]
-            yield pd.DataFrame({"block": block, "doc_id": frame["doc_id"], "number": None, "word": None, "places": places})
-            spelled = [w.encode() for w in words.numbers]
-            yield pd.DataFrame({"block": block, "doc_id": None, "number": np.arange(len(spelled)), "word": spelled, "places": None})
-
-    return stored(rows.mapInPandas(step, f"block long, doc_id {type_of(rows, 'doc_id')}, number int, word binary, places binary"))
+            block, met = uuid.uuid4().int >> 65, WordNumbers(find)
+            places = [np.array(met.places(text), dtype=np.int32) for text in frame["text"]]
+            words = [w.encode() for w in met.numbers]
+            part = np.array([zlib.crc32(w) % parts for w in words], dtype=np.int64)
+            order = np.argsort(part, kind="stable")
+            number = np.empty(len(words), dtype=np.int32)
+            number[order] = np.arange(len(words), dtype=np.int32)
+            packed = [pack(number[p]) for p in places]
+            yield pd.DataFrame({"block": block, "doc_id": frame["doc_id"], "places": packed, "part": None, "first": None, "words": None})
+            part = part[order]
+            starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
+            lists = [pack_lists([words[i] for i in order[a:b]]) for a, b in zip(starts, np.r_[starts[1:], len(part)])]
+            yield pd.DataFrame({"block": block, "doc_id": None, "places": None, "part": part[starts], "first": starts, "words": lists})
+
+    schema = f"block long, doc_id {type_of(rows, 'doc_id')}, places binary, part int, first int, words binary"
+    name = f"blocks_{uuid.uuid4().hex}"
+    writer = rows.mapInPandas(step, schema).write.bucketBy(parts, "block").option("path", new_folder(spark, "blocks"))
+    writer.saveAsTable(name)
+    return spark.table(name)
 
 
 def encode_words(words: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """(owner, number, ids): rows of (block, number, word) with the word's ids as little-endian int32.
+    """(owner, first, ids): rows of (block, part, first, words) with the words' ids as little-endian int32.
 
-    Equal words meet in one task, side by side, where the first one is encoded.
+    Equal words have one part and meet in one task, where the first one is encoded.
     """
     shared = words.sparkSession.sparkContext.broadcast(ranks)
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, last, own = shared.value, None, b""
+        table, known = shared.value, {}
         for frame in batches:
-            ids = []
-            for word in frame["word"]:
-                if word != last:
-                    last = word
-                    own = np.array((encode_word if len(word) < 64 else encode_long_word)(bytes(word), table), dtype="<i4").tobytes()
-                ids.append(own)
-            yield pd.DataFrame({"owner": frame["block"], "number": frame["number"], "ids": ids})
+            out = []
+            for data in frame["words"]:
+                listed = unpack_lists(data)
+                for word in listed:
+                    if word not in known:
+                        ids = (encode_word if len(word) < 64 else encode_long_word)(word, table)
+                        known[word] = np.array(ids, dtype="<i4").tobytes()
+                out.append(pack_lists([known[word] for word in listed]))
+            yield pd.DataFrame({"owner": frame["block"], "first": frame["first"], "ids": out})
 
-    dealt = words.select("block", "number", "word").repartition("word").sortWithinPartitions("word")
-    return dealt.mapInPandas(step, "owner long, number int, ids binary")
+    dealt = words.select("block", "part", "first", "words").repartition("part")
+    return dealt.mapInPandas(step, "owner long, first int, ids binary")
 
 
 def token_table(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
@@ -188,16 +218,16 @@ def coded_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, read
     words; repeated rows are coded alike and all stay; other columns are not read; an empty table gives no rows.
     """
     table = word_places(docs, pattern, id_col, text_col)
-    coded = encode_words(table.where("word is not null"), ranks)
-    texts = table.where("word is null").select("block", "doc_id", "places")
+    coded = encode_words(table.where("words is not null"), ranks)
+    texts = table.where("places is not null").select("block", "doc_id", "places")
     # The table of token bytes: as large as the vocabulary, whatever the corpus.
     shared = docs.sparkSession.sparkContext.broadcast({i: token for token, i in ranks.items()})
     names = ["doc_id", *[c.split()[0] for c in schema.split(",")]]
 
     def assemble(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         token = shared.value
-        order = np.argsort(right["number"].to_numpy(dtype=np.int64))
-        ids = [np.frombuffer(right["ids"].iat[i], dtype="<i4").tolist() for i in order]
+        packed = right["ids"].to_numpy()[np.argsort(right["first"].to_numpy(dtype=np.int64))]
+        ids = [np.frombuffer(own, dtype="<i4").tolist() for data in packed for own in unpack_lists(data)]
         finish = reader(ids, [b"".join([token[i] for i in own]) for own in ids])
         rows = [(doc_id, *finish(unpack(places).tolist())) for doc_id, places in zip(left["doc_id"], left["places"])]
         return pd.DataFrame(rows, columns=names)
