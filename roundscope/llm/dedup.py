@@ -237,7 +237,9 @@ def _covered(starts: np.ndarray, counts: np.ndarray, size: int, width: int) -> n
     return np.cumsum(depth[:-1]) > 0
 
 
-@F.pandas_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
+
+
 def _cut(texts: pd.Series, runs: pd.Series, width: pd.Series) -> pd.DataFrame:
     out = []
     for text, packed, size in zip(texts, runs, width):
@@ -266,7 +268,8 @@ def cut_documents(docs: DataFrame, text_col: str = "text", width: int = WIDTH, m
     packed = F.shiftleft(F.col("start"), 12).bitwiseOR(F.col("n").cast("long"))
     lists = runs.groupBy("text_key").agg(F.sort_array(F.collect_list(packed)).alias("runs"))
     joined = rows.join(lists, "text_key", "left")
-    return joined.select("row", _cut(text, "runs", F.lit(width)).alias("cut"))
+    cut = F.pandas_udf(_cut, CUT)
+    return joined.select("row", cut(text, F.col("runs"), F.lit(width)).alias("cut"))
 
 
 def kept_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, memory: int = suffixes.MEMORY) -> DataFrame:
@@ -281,10 +284,9 @@ def with_repeats_cut(docs: DataFrame, text_col: str = "text", width: int = WIDTH
     A character of which a byte went goes whole. Other columns stay as they are.
     """
     cut = cut_documents(docs, text_col, width, memory)
-    kept = F.when(F.col("row")[text_col].isNotNull(), _decoded("cut.kept"))
+    kept = F.when(F.col("row")[text_col].isNotNull(), F.pandas_udf(_decoded, "string")(F.col("cut.kept")))
     return cut.select(*[(kept if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
-@F.pandas_udf("string")
 def _decoded(kept: pd.Series) -> pd.Series:
     return kept.map(lambda data: bytes(data).decode("utf-8", errors="ignore"))

@@ -90,6 +90,40 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(read(spark, sf_dir, "documents")).drop("clean_text")
 
 
+ORACLE["op6_quality"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT doc_id, t, [x FOR x IN string_split(regexp_replace(t, '[\x20\x09-\x0D]', ' ', 'g'), ' ') IF x <> ''] AS ws,
+    [l FOR l IN string_split(t, chr(10)) IF regexp_matches(l, '[^\x20\x09-\x0D]')] AS ls
+  FROM d),
+windows AS (
+  SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS met
+  FROM (SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g FROM w, LATERAL (SELECT unnest(range(1, len(ws) - 1)) AS i))),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2)) AS v(k) WHERE met > 1 GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, l, [x FOR x IN string_split(regexp_replace(l, '[\x20\x09-\x0D]', ' ', 'g'), ' ') IF x <> ''] AS lw
+  FROM (SELECT doc_id, unnest(ls) AS l FROM w)),
+judged AS (
+  SELECT doc_id, list_sum([length(x) FOR x IN lw]) AS chars,
+    (len(lw) < 8 AND NOT contains('.!?…。！？:;"''”’»)]', right(rtrim(l, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '), 1)))
+    OR len([x FOR x IN lw IF regexp_matches(x, '[!?][!?]$')]) * 3 > len(lw)
+    OR len([x FOR x IN lw IF regexp_full_match(x, '[|»«›‹•·>/\\-]+')]) * 5 >= greatest(1, len(lw))
+    OR len([x FOR x IN lw IF regexp_matches(x, '[#*$%&|<>]')]) * 4 > len(lw)
+    OR regexp_matches(lower(l), 'cookie|javascript|privacy policy|terms of use|terms of service|all rights reserved|copyright|released under|licensed under|subscribe|newsletter|sign in|sign up|log in|login|click here|read more|lorem ipsum') AS failed
+  FROM lines),
+kept AS (SELECT doc_id, count(*) FILTER (NOT failed) AS n, coalesce(sum(chars) FILTER (NOT failed), 0) AS chars FROM judged GROUP BY doc_id),
+counted AS (
+  SELECT w.doc_id, len(ws) AS n_words, coalesce(list_sum([length(x) FOR x IN ws]), 0)::BIGINT AS word_chars,
+    (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, len(ls)::BIGINT AS n_lines,
+    coalesce(k.n, 0) AS n_kept_lines, coalesce(k.chars, 0)::BIGINT AS kept_chars
+  FROM w LEFT JOIN repeats r USING (doc_id) LEFT JOIN kept k USING (doc_id))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND kept_chars >= 0.5 * word_chars AS kept
+FROM counted
+"""
+
+
 def _judged(scores: DataFrame, folds: int, held: int, threshold: float) -> DataFrame:
     """The scores with their fold and verdict; a row without an id is never learned from, nor held out."""
     held_out = F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False))

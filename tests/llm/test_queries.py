@@ -1,0 +1,30 @@
+"""Queries on documents against SQL, and the pipeline's registration."""
+
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import compare  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from roundscope.llm import queries  # noqa: E402
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_against_sql(spark, name):
+    assert compare.differences(queries.QUERIES[name](spark, SF), compare.connect(SF), queries.ORACLE[name]) == []
+
+
+def test_names():
+    import __spark_entry__ as entry
+
+    assert {q for q in entry.queries() if q.startswith("op")} >= set(queries.QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert entry.queries()["pipeline"] is corpus_pipeline.run
+    assert len(corpus_pipeline.STAGES) == 5
