@@ -21,7 +21,6 @@ from .columns import null_safe_join
 
 # Distinct values one task may order; above it the values are cut into ranges.
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 4096
 
 
 def collapse(df: DataFrame, value: str, by: Sequence[str], weights: Mapping[str, Column]) -> DataFrame:
@@ -59,7 +58,7 @@ def prefix_counts(
     by, columns = list(by), list(columns)
     kept = table.filter(F.col(value).isNotNull())
     distinct = kept.count()
-    ranges = min(MAX_RANGES, math.ceil(distinct / rows_per_range))
+    ranges = math.ceil(distinct / rows_per_range)
     edges: list[float] = []
     if ranges > 1:
         # A fixed number of literals, so that a recomputed task places every value alike.

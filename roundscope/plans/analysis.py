@@ -319,6 +319,7 @@ def trade_curve(delays: DataFrame, horizon: int = 12, points: Sequence[int] | No
 
 # --- features --------------------------------------------------------------------------------
 
+# Per-round features, in order.
 FEATURES = [
     "open_won",
     "time_to_ok_s", "trade_3s", "trade_5s", "trade_10s",

@@ -11,7 +11,7 @@ from ..functions.items import inventory_json
 from ..functions.text import BOMB_EVENTS, TEAM_OF_NUMBER, event_label, flag, lookup, stable_id
 from ..operators import columns as cols
 from ..operators.asof import IntervalSize, attach_round, measure, relative_time
-from ..operators.snapshots import first_per_group, keep_first, snapshot_after, trajectory_summary
+from ..operators.snapshots import TRAJECTORY_NAMES, first_per_group, keep_first, snapshot_after, trajectory_summary
 from ..schemas import K2, WAREHOUSE
 from ..session import broadcast_within, stored
 from ..sources import warehouse
@@ -222,7 +222,10 @@ def projectiles(grenades: DataFrame) -> DataFrame:
     return grenades.filter(F.coalesce(F.col(kind).cast("string").contains("Projectile"), F.lit(False)))
 
 
-def grenades_summary(grenades: DataFrame, scope: Scope) -> DataFrame:
+def grenades_summary(grenades: DataFrame, scope: Scope) -> DataFrame | None:
+    """One row per thrown projectile; none where the source tells neither round nor tick."""
+    if not all(cols.pick(grenades, TRAJECTORY_NAMES[c]) for c in ("round", "tick")):
+        return None
     return scope.stamp(trajectory_summary(grenades, scope.keys, scope_rows=scope.sources()))
 
 

@@ -764,3 +764,20 @@ UNION ALL {_PER.format(round='round', table='grenades_summary', source='thrown')
 UNION ALL {_PER.format(round='round', table='events_grenades', source='thrown_events')}
 UNION ALL {_PER.format(round='day', table='chat', source="(SELECT * FROM demo WHERE event_type='signup')")}
 """
+
+ORACLE["warehouse_merge"] = """
+WITH lines AS (SELECT l_returnflag AS flag, CAST(l_linenumber AS BIGINT) AS round,
+                      CASE WHEN l_linenumber<7 THEN (l_orderkey%500) || '-' || l_linenumber END AS event_id FROM lineitem),
+arrived AS (SELECT '007' AS match_id, event_id, round FROM lines WHERE flag='A' UNION ALL SELECT '1e3', event_id, round FROM lines WHERE flag='N'
+            UNION ALL SELECT '1.10', event_id, round FROM lines WHERE flag='R' UNION ALL SELECT 'm1', event_id, round FROM lines WHERE round=1)
+SELECT min(match_id) AS match_id, event_id, min(round) AS round FROM arrived WHERE event_id IS NOT NULL GROUP BY event_id
+UNION ALL SELECT match_id, event_id, round FROM arrived WHERE event_id IS NULL
+"""
+
+ORACLE["ingest_stream_merge"] = """
+SELECT DISTINCT ON (event_id) match_id, event, event_id, "playerSteamID", t_sec FROM (
+  SELECT 'stream' AS match_id,
+         CASE WHEN contains(event_type,'purchase') THEN 'planted' WHEN contains(event_type,'signup') THEN 'defused' WHEN contains(event_type,'error') THEN 'explode' END AS event,
+         substr(sha1(coalesce(CAST(event_id AS VARCHAR),'None') || '|'), 1, 16) AS event_id, CAST(user_id AS VARCHAR) AS "playerSteamID", round(value, 6) AS t_sec
+  FROM events) WHERE event IS NOT NULL
+"""

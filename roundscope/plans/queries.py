@@ -635,6 +635,25 @@ def slim_tables(spark, d):
     return cols.unite(parts)
 
 
+@query
+def warehouse_merge(spark, d):
+    """Match folders, some of them named like numbers and with a clashing column, are merged twice."""
+    root = new_folder(spark, "warehouse-merge")
+    lines = b.table(spark, d, "lineitem")
+    matches = {"007": "l_returnflag = 'A'", "1e3": "l_returnflag = 'N'", "1.10": "l_returnflag = 'R'", "m1": "l_linenumber = 1"}
+    for match, chosen in matches.items():
+        extra = F.col("l_linenumber").cast("int" if match == "m1" else "string")
+        event_id = F.when(F.col("l_linenumber") < 7, F.concat_ws("-", F.col("l_orderkey") % 500, "l_linenumber"))
+        rows = lines.filter(chosen).select(
+            F.lit("d").alias("demo_file"), F.col("l_linenumber").alias("round"), event_id.alias("event_id"), extra.alias("extra")
+        )
+        rows.write.parquet(f"{root}/matches/{match}/events_shots")
+    for _ in range(2):
+        warehouse.build(spark, f"{root}/matches", f"{root}/warehouse", batch="one")
+    merged = warehouse.read_table(spark, f"{root}/warehouse", "events_shots")
+    return merged.select("match_id", "event_id", F.col("round").cast("bigint").alias("round"))
+
+
 @query
 def ingest_stream_merge(spark, d):
     """All events arrive as a stream and are merged into the bomb events of a warehouse, twice."""

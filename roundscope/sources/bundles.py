@@ -17,6 +17,9 @@ ANALYSIS_TICKRATE = 64.0
 TICKRATE_KEYS = ["tickrate", "tickRate", "ticks_per_second", "ticksPerSecond"]
 MAP_KEYS = ["map_name", "mapName"]
 
+# Spellings of the rate in a header table, in order of preference.
+RATE_COLUMNS = ["tickrate", "tick_rate", "tick_rate_hz"]
+
 PLAYER_PROPERTIES = ["name", "steamid", "team_num", "health", "armor", "has_helmet", "inventory"]
 
 
@@ -69,8 +72,14 @@ def header_rows(df: DataFrame, header: str = "header", default: float = INGEST_T
     )
 
 
-def default_tickrate(headers: DataFrame, rate: str = "tickrate", order: Sequence[str] = ()) -> Column:
-    """Whole tick rate of the first header, or the analysis default; a scalar subquery."""
+def default_tickrate(headers: DataFrame, rate: str | None = None, order: Sequence[str] = ()) -> Column:
+    """Whole tick rate of the first header, or the analysis default; a scalar subquery.
+
+    The rate is the named column, or the first of the known spellings that the table has.
+    """
+    rate = rate or next((c for c in RATE_COLUMNS if c in headers.columns), None)
+    if rate is None:
+        return F.lit(ANALYSIS_TICKRATE)
     value = F.col(rate).try_cast("double")
     first = F.min(F.struct(*order, value.alias("_rate")))["_rate"]
     usable = F.when(~F.isnan("r") & (F.col("r") != 0), F.floor("r").cast("double"))

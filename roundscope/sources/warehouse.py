@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.columns import unite
 from ..operators.snapshots import keep_first
@@ -16,6 +18,15 @@ from ..session import BROADCAST_ROWS, stored
 from .bundles import read_bundle
 
 
+# How a failed read arrives: most errors as Spark's own, those of uniting schemas as the JVM's.
+READ_ERRORS = (PySparkException, Py4JJavaError)
+
+# What Spark reports where a table has no path or no files.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+REJECTED = StructType([StructField(c, StringType()) for c in ("table", "path", "reason")])
+
+
 def stem(path: Column) -> Column:
     """File name without folder and last suffix."""
     name = F.regexp_extract(path, r"([^/]+)/?$", 1)
@@ -32,17 +43,60 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def read_sources(spark: SparkSession, paths: str | Sequence[str], schema: StructType, match: Column | None = None) -> DataFrame:
-    """All files of one table in a single scan, with the match id of each row taken from its path.
+def reason(error: Exception) -> str:
+    """What a failed read reports, in a line."""
+    text = str(error.java_exception) if isinstance(error, Py4JJavaError) else str(error)
+    return text.split("\n")[0][:500]
+
+
+def _schema_groups(spark: SparkSession, files: list[str], rejected: list[tuple[str, str]]) -> list[DataFrame]:
+    """The files as frames of one schema each: halved until the schemas of a group can be united.
+
+    Files whose footer cannot be read go to ``rejected`` with the reason.
+    """
+    if not files:
+        return []
+    try:
+        return [spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*files)]
+    except READ_ERRORS as e:
+        if len(files) == 1:
+            rejected.append((files[0], reason(e)))
+            return []
+    half = len(files) // 2
+    return _schema_groups(spark, files[:half], rejected) + _schema_groups(spark, files[half:], rejected)
+
+
+def read_sources(
+    spark: SparkSession, paths: str | Sequence[str], schema: StructType, match: Column | None = None,
+    rejected: list[tuple[str, str]] | None = None,
+) -> DataFrame:
+    """All files of one table, with the match id of each row taken from its path.
 
     The columns of all files are united; a declared column that none has is NULL, an undeclared one
     is never read, and values are cast to the declared types where they can be. Files are found at
     any depth. ``match`` defaults to the stem of the file.
+
+    One scan serves unless the types of a column clash, be it declared or not: then files are read in
+    groups that agree. (path, reason) of unreadable files are added to ``rejected``; without that
+    list they fail the job.
     """
-    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-    found = reader.parquet(*([paths] if isinstance(paths, str) else paths))
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    lost: list[tuple[str, str]] = []
+    try:
+        groups = [spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths)]
+    except READ_ERRORS as e:
+        if isinstance(e, PySparkException) and e.getCondition() in ABSENT:
+            raise
+        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+        files = sorted(r["path"] for r in listed.load(paths).select("path").collect())
+        groups = _schema_groups(spark, files, lost)
+        if lost and rejected is None:
+            raise
+    if rejected is not None:
+        rejected += lost
     match = stem(F.col("_metadata.file_path")) if match is None else match
-    return conform(found.withColumn("match_id", match), schema)
+    frames = [conform(g.withColumn("match_id", match), schema) for g in groups]
+    return unite(frames) if frames else spark.createDataFrame([], schema)
 
 
 def merge_append(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -98,14 +152,15 @@ def typed(df: DataFrame, table: str) -> DataFrame:
 
 
 def append(df: DataFrame, root: str, table: str, batch: str | None = None) -> None:
-    """Append a frame to a table of the folder, partitioned by load and match.
+    """Append a frame to a table of the folder, partitioned by load.
 
-    Rows are rebalanced on the match, so that small matches share a file and a very large one is
-    split. A named batch replaces what an earlier attempt of the same batch has written.
+    The number of files follows the size of the load, not the number of matches: small matches share
+    a file and a large one is split. Rows of a match stand together in a file, so its statistics tell
+    readers which files to skip. A named batch replaces what an earlier attempt of it has written.
     """
     labelled = df.withColumn("ingest_batch", F.lit(batch or "bulk"))
-    keys = ["ingest_batch"] + [c for c in ("match_id",) if c in df.columns]
-    writer = labelled.hint("rebalance", *keys).write.partitionBy(*keys)
+    order = ["ingest_batch"] + [c for c in ("match_id",) if c in df.columns]
+    writer = labelled.hint("rebalance").sortWithinPartitions(*order).write.partitionBy("ingest_batch")
     if batch:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -113,9 +168,27 @@ def append(df: DataFrame, root: str, table: str, batch: str | None = None) -> No
     writer.parquet(table_path(root, table))
 
 
+def _stored_as(schema: StructType) -> StructType:
+    """Columns of a stored table with the name of the load, which is text whatever it looks like."""
+    return StructType([*schema.fields, StructField("ingest_batch", StringType())])
+
+
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A warehouse table in its declared types; empty where it was never written."""
-    return conform(read_bundle(spark, root, table), WAREHOUSE[table])
+    return conform(read_bundle(spark, root, table, _stored_as(WAREHOUSE[table])), WAREHOUSE[table])
+
+
+def record_rejected(spark: SparkSession, root: str, table: str, rejected: Sequence[tuple[str, str]]) -> None:
+    """Note unreadable inputs beside the tables; noted again, the same inputs replace themselves."""
+    if rejected:
+        rows = spark.createDataFrame([(table, p, reason) for p, reason in rejected], REJECTED)
+        label = hashlib.sha1("\n".join([table, *sorted(p for p, _ in rejected)]).encode()).hexdigest()[:16]
+        append(rows, root, "rejected", label)
+
+
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """Inputs that could not be read: table, path, reason."""
+    return read_bundle(spark, root, "rejected", _stored_as(REJECTED)).drop("ingest_batch").distinct()
 
 
 def register_views(spark: SparkSession, root: str, prefix: str = "") -> None:
@@ -162,17 +235,20 @@ def merge_into(
 def build(spark: SparkSession, matches: str, root: str, batch: str | None = None) -> list[str]:
     """Merge all match folders ``matches/<match>/<table>`` into the warehouse, one scan per table.
 
-    Returns the merged tables; those no match has are passed over.
+    Returns the merged tables; those no match has are passed over. Unreadable files are passed over
+    too, and noted (``read_rejected``).
     """
     merged = []
     for table, schema in WAREHOUSE.items():
         folder = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+)/{table}/", 1)
+        rejected: list[tuple[str, str]] = []
         try:
-            rows = read_sources(spark, f"{matches.rstrip('/')}/*/{table}", schema, folder)
-        except AnalysisException as e:
-            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            rows = read_sources(spark, f"{matches.rstrip('/')}/*/{table}", schema, folder, rejected)
+        except PySparkException as e:
+            if e.getCondition() not in ABSENT:
                 raise
             continue
+        record_rejected(spark, root, table, rejected)
         merge_into(spark, root, table, rows, order=("match_id",), batch=batch)
         merged.append(table)
     return merged

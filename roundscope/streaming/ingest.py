@@ -11,8 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..schemas import WAREHOUSE
-from ..session import shared_folder
-from ..sources.warehouse import merge_into, stem
+from ..sources.warehouse import READ_ERRORS, merge_into, reason, record_rejected, stem
+
+FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def ingest_stream(
@@ -28,29 +29,67 @@ def ingest_stream(
     """Merge the new files of ``source`` into a warehouse table and stop when none is left.
 
     Run again, it takes up only files that arrived since. A batch repeated after a failure changes
-    nothing: unique tables ignore known keys, the others replace what that batch had written.
+    nothing: unique tables ignore known keys, the others replace what that batch had written. The
+    stream carries names of files only. A file that cannot be read is left out and noted beside the
+    tables with the reason (``warehouse.read_rejected``); the rest of its batch is merged. Progress is
+    kept in the warehouse unless ``checkpoint`` names another folder.
     """
     if table not in WAREHOUSE:
         raise ValueError(f"unknown warehouse table {table!r}")
     arriving = (
-        spark.readStream.schema(schema)
+        spark.readStream.format("binaryFile")
+        .schema(FILES)
         .option("maxFilesPerTrigger", files_per_batch)
-        .option("ignoreCorruptFiles", "true")
         .option("recursiveFileLookup", "true")
-        .parquet(source)
+        .option("pathGlobFilter", "*.parquet")
+        .load(source)
+        .select("path")
     )
-    rows = arriving.select("*", stem(F.col("_metadata.file_path")).alias("_source"))
-    if "match_id" not in schema.names:
-        rows = rows.withColumn("match_id", F.col("_source"))
-
     feed = hashlib.sha1(source.encode()).hexdigest()[:8]
 
+    def take(session: SparkSession, paths: list[str], label: str) -> None:
+        rows = session.read.schema(schema).parquet(*paths)
+        rows = rows.select("*", stem(F.col("_metadata.file_path")).alias("_source"))
+        if "match_id" not in schema.names:
+            rows = rows.withColumn("match_id", F.col("_source"))
+        ready = transform(rows) if transform else rows
+        merge_into(session, root, table, ready, order=("match_id",), batch=label, incremental=True)
+
     def merge(batch: DataFrame, number: int) -> None:
-        ready = transform(batch) if transform else batch
-        label = f"{feed}-{number}"
-        merge_into(batch.sparkSession, root, table, ready, order=("match_id",), batch=label, incremental=True)
+        session = batch.sparkSession
+        # At most files_per_batch names. The label follows from them, so it outlives lost progress.
+        paths = sorted(r["path"] for r in batch.collect())
+        if not paths:
+            return
+        label = f"{feed}-{hashlib.sha1(chr(10).join(paths).encode()).hexdigest()[:16]}"
+        try:
+            take(session, paths, label)
+        except READ_ERRORS as e:
+            rejected: list[tuple[str, str]] = []
+            good = readable(session, paths, schema, rejected)
+            if not rejected:
+                raise e
+            record_rejected(session, root, table, rejected)
+            if good:
+                take(session, good, label)
 
-    place = checkpoint or f"{shared_folder(spark)}/ingest/{table}"
+    place = checkpoint or f"{root.rstrip('/')}/_progress/{table}-{feed}"
     return (
-        rows.writeStream.foreachBatch(merge).option("checkpointLocation", place).trigger(availableNow=True).start()
+        arriving.writeStream.foreachBatch(merge).option("checkpointLocation", place).trigger(availableNow=True).start()
     )
+
+
+def readable(spark: SparkSession, paths: list[str], schema: StructType, rejected: list[tuple[str, str]]) -> list[str]:
+    """The files that can be read to their end; the others are added to ``rejected`` with the reason.
+
+    Groups are halved until they hold no broken file, so one costs as many reads as the logarithm of their number.
+    """
+    try:
+        spark.read.schema(schema).parquet(*paths).write.format("noop").mode("overwrite").save()
+        return paths
+    except READ_ERRORS as e:
+        if len(paths) == 1:
+            rejected.append((paths[0], reason(e)))
+            return []
+    half = len(paths) // 2
+    return readable(spark, paths[:half], schema, rejected) + readable(spark, paths[half:], schema, rejected)

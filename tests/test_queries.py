@@ -19,7 +19,7 @@ def con():
 
 def test_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.QUERIES) - set(entry.ORACLE) == {"ingest_stream_merge"}
+    assert set(entry.QUERIES) == set(entry.ORACLE)
 
 
 @pytest.mark.parametrize("name", sorted(entry.ORACLE))
@@ -27,9 +27,5 @@ def test_against_sql(spark, con, name):
     assert compare.differences(entry.queries()[name](spark, SF), con, entry.oracle_sql()[name]) == []
 
 
-def test_stream_query(spark):
-    assert entry.queries()["ingest_stream_merge"](spark, SF).count() > 0
-
-
 def test_entry(spark):
     assert entry.entry(spark).count() == 1

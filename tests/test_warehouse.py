@@ -63,6 +63,61 @@ def test_named_batch_replaces_itself(spark, matches, tmp_path):
     assert warehouse.read_table(spark, root, "rounds").count() == 1
 
 
+@pytest.mark.parametrize("match", ["007", "1e3", "1.10", "2024-01-02", "plain"])
+def test_match_ids_keep_their_text(spark, tmp_path, rows, match):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    loadout = "demo_file string, round int, steamid string"
+    spark.createDataFrame([("d", 1, "s1"), ("d", 2, "s1")], loadout).write.parquet(f"{source}/{match}/round_loadouts")
+    for _ in range(2):
+        warehouse.build(spark, source, root)
+    assert rows(warehouse.read_table(spark, root, "round_loadouts"), "match_id", "round") == [(match, 1), (match, 2)]
+
+
+def test_small_matches_share_files(spark, tmp_path):
+    root = str(tmp_path / "wh")
+    frame = spark.range(10_000).select(F.concat(F.lit("m"), F.col("id") % 1000).alias("match_id"), F.lit("d").alias("demo_file"), F.col("id").cast("int").alias("round"))
+    warehouse.merge_into(spark, root, "rounds", frame)
+    stored = warehouse.read_table(spark, root, "rounds")
+    assert stored.select("match_id").distinct().count() == 1000 and stored.count() == 10_000
+    assert len(stored.inputFiles()) <= 8
+
+
+def test_sources_with_clashing_columns(spark, tmp_path, rows):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for match, kind, value in (("a", "int", 1), ("b", "string", "2"), ("c", "boolean", True)):
+        row = spark.createDataFrame([("d", 1, value, "7" if match == "b" else 7)], f"demo_file string, round int, planted {kind}, start {'string' if match == 'b' else 'bigint'}")
+        row.coalesce(1).write.parquet(f"{source}/{match}/rounds")
+    assert warehouse.build(spark, source, root) == ["rounds"]
+    assert rows(warehouse.read_table(spark, root, "rounds"), "match_id", "start") == [("a", 7), ("b", 7), ("c", 7)]
+    assert warehouse.read_rejected(spark, root).count() == 0
+
+
+def test_broken_files_are_noted(spark, matches, tmp_path, rows):
+    root = str(tmp_path / "wh")
+    (tmp_path / "matches" / "m9" / "events_shots").mkdir(parents=True)
+    (tmp_path / "matches" / "m9" / "events_shots" / "x.parquet").write_text("broken")
+    for _ in range(2):
+        warehouse.build(spark, matches, root)
+    shots = warehouse.read_table(spark, root, "events_shots").filter("event_id is not null")
+    assert rows(shots, "match_id", "event_id") == [("m1", "e1"), ("m2", "e2")]
+    lost = warehouse.read_rejected(spark, root).collect()
+    assert [(r.table, r.path.rsplit("/", 1)[1]) for r in lost] == [("events_shots", "x.parquet")] and lost[0].reason
+    with pytest.raises(Exception):
+        warehouse.read_sources(spark, f"{matches}/*/events_shots", WAREHOUSE["events_shots"])
+
+
+def test_broken_files_of_a_stream_are_noted(spark, tmp_path, rows):
+    source, root = str(tmp_path / "in"), str(tmp_path / "out")
+    for i in range(3):
+        spark.createDataFrame([("d", i, i, f"e{i}", "ak", "x")], SHOT).coalesce(1).write.parquet(f"{source}/{i}")
+    (tmp_path / "in" / "bad.parquet").write_text("broken")
+    schema = spark.createDataFrame([], SHOT).schema
+    for _ in range(2):
+        ingest_stream(spark, source, root, "events_shots", schema).awaitTermination()
+        assert rows(warehouse.read_table(spark, root, "events_shots"), "event_id") == [("e0",), ("e1",), ("e2",)]
+        assert [r.path.rsplit("/", 1)[1] for r in warehouse.read_rejected(spark, root).collect()] == ["bad.parquet"]
+
+
 def test_merge_ignore(spark, rows):
     schema = "k string, v int"
     target = spark.createDataFrame([("a", 1), (None, 0)], schema)
@@ -149,6 +204,9 @@ def test_default_tickrate(spark):
     assert value(df.filter("m = 'c'")) == 64.0
     assert value(df.withColumn("tickrate", F.lit("bad"))) == 64.0
     assert value(df.filter("m = 'b'")) == 32.0
+    assert value(df.withColumnRenamed("tickrate", "tick_rate_hz")) == 64.0
+    assert value(df.filter("m = 'b'").withColumnRenamed("tickrate", "tick_rate")) == 32.0
+    assert value(df.drop("tickrate")) == 64.0
 
 
 def test_catalog_and_entities(spark, rows):
