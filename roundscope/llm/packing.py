@@ -30,7 +30,7 @@ CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker keeps from task to task; beyond it the cache starts anew.
 CACHE_WORDS = 1_000_000
-#: Pieces of one length that are ranked in one window.
+#: Pieces of one length that are ranked in one window; there are as many buckets as shuffle partitions at least.
 RANKED_ROWS = 100_000
 
 
@@ -209,7 +209,7 @@ def ranked(cut: DataFrame, rows: int) -> DataFrame:
     Pieces of a length are spread over buckets by their ids; each bucket is ranked by itself and starts where the
     buckets before it end, so a length that most pieces share stays spread.
     """
-    buckets = max(1, -(-rows // RANKED_ROWS))
+    buckets = max(-(-rows // RANKED_ROWS), int(cut.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     spread = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     sizes = spread.groupBy("length", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket")) - F.col("n")
