@@ -144,9 +144,11 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     if radius > RADIUS:
         raise ValueError(f"the balls meet up to {RADIUS} bits")
     distinct = checkpointed(prints.select("simhash").where("simhash is not null").distinct())
+    count = distinct.count()
     masks, ones = flip_masks()
-    buckets = max(1, -(-distinct.count() * (len(masks) + ones) // 2 // MEET_ROWS))
-    emitted = distinct.mapInPandas(_emit(buckets), "bucket long, owners binary, flips binary")
+    buckets = max(1, -(-count * (len(masks) + ones) // 2 // MEET_ROWS))
+    dealt = distinct.repartition(max(1, -(-count // (2 * EMIT_ROWS))), "simhash")
+    emitted = dealt.mapInPandas(_emit(buckets), "bucket long, owners binary, flips binary")
     return emitted.groupBy("bucket").applyInPandas(_meet(radius), "u long, v long").distinct()
 
 
