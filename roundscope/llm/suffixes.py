@@ -26,6 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ENTRY = np.dtype([("pos", "<i8"), ("lcp", "<i4")])
 CHUNK = 1 << 14
+_LOG2 = np.r_[0, np.frexp(np.arange(1, CHUNK + 1))[1] - 1].astype(np.int64)
 #: Entries that a queue keeps in memory, and symbols that are solved there.
 MEMORY = 4_000_000
 
@@ -90,20 +91,21 @@ class Scan:
         that induce an entry, and ``symbols`` the entries' first symbols.
         """
         n = len(lcp)
+        if len(self.last) <= 1 << 16:
+            symbols = symbols.astype(np.uint16)  # sorted by counting
         order = np.argsort(symbols, kind="stable")
         s, at = symbols[order], where[order]
         first = np.r_[True, s[1:] != s[:-1]]
         before = np.where(first, self.last[s], np.r_[0, at[:-1]] + self.now)
-        table = [lcp]
-        while 2 << (len(table) - 1) <= n:
-            half = 1 << (len(table) - 1)
-            table.append(np.minimum(table[-1][:-half], table[-1][half:]))
+        levels = n.bit_length()
+        table = np.empty((levels, n), dtype=lcp.dtype)
+        table[0] = lcp
+        for k in range(1, levels):
+            half = 1 << (k - 1)
+            np.minimum(table[k - 1, : n - 2 * half + 1], table[k - 1, half : n - half + 1], out=table[k, : n - 2 * half + 1])
         begin = np.maximum(before + 1 - self.now, 0)
-        level = np.frexp((at - begin + 1).astype(np.float64))[1] - 1
-        low = np.empty(len(at), dtype=np.int64)
-        for k in np.unique(level):
-            mine = level == k
-            low[mine] = np.minimum(table[k][begin[mine]], table[k][at[mine] - (1 << k) + 1])
+        level = _LOG2[at - begin + 1]
+        low = np.minimum(table[level, begin], table[level, at - (1 << level) + 1]).astype(np.int64)
         old = (before >= 0) & (before + 1 < self.now)
         if old.any():
             low[old] = np.minimum(low[old], self.lows[np.searchsorted(self.ends, before[old] + 1)])
@@ -152,7 +154,7 @@ class Sorter:
     def _hand_on(self, scan: Scan, queue: BucketQueue, pos: np.ndarray, lcp: np.ndarray, to_s: bool) -> None:
         """Scan suffixes in order and queue those predecessors that are of the wanted type."""
         for a in range(0, len(pos), CHUNK):
-            p, l = pos[a : a + CHUNK], lcp[a : a + CHUNK].astype(np.int64)
+            p, l = pos[a : a + CHUNK], lcp[a : a + CHUNK].astype(np.int32)
             before = p - 1
             where = np.flatnonzero((before >= 0) & (self.is_s[before] == to_s))
             symbols = self.text[before[where]].astype(np.int64)
@@ -244,17 +246,27 @@ def ordered_names(names: np.ndarray, depth: int, folder: str, memory: int) -> tu
     if len(names) > memory and names.max() + 1 < len(names):
         parts = list(Sorter(names.astype(np.uint32), depth, folder, memory).suffixes())
         return np.concatenate([p for p, _ in parts]), np.concatenate([l for _, l in parts])
-    n, ranks, span = len(names), [names], 1
-    while span < depth and ranks[-1].max() + 1 < n:
-        rank = ranks[-1]
-        key = rank * (n + 1)
-        key[:-span] += rank[span:] + 1
+    # A rank is the number of suffixes that are smaller as far as compared; only those alike are compared further.
+    n, span = len(names), 1
+    smaller = np.r_[0, np.cumsum(np.bincount(names))]
+    rank = smaller[names]
+    ranks, open_ = [rank], np.flatnonzero((smaller[names + 1] - rank) > 1)
+    while span < depth and len(open_):
+        after = np.where(open_ + span < n, rank[np.minimum(open_ + span, n - 1)] + 1, 0)
+        key = rank[open_] * (n + 1) + after
         order = np.argsort(key, kind="stable")
-        fresh = np.empty(n, dtype=np.int64)
-        fresh[order] = np.cumsum(np.r_[False, key[order][1:] != key[order][:-1]])
-        ranks.append(fresh)
+        open_, key = open_[order], key[order]
+        group = rank[open_]
+        place = np.arange(len(open_))
+        old = np.maximum.accumulate(np.where(np.r_[True, group[1:] != group[:-1]], place, 0))
+        new = np.maximum.accumulate(np.where(np.r_[True, key[1:] != key[:-1]], place, 0))
+        rank = rank.copy()
+        rank[open_] = group + new - old
+        ranks.append(rank)
+        shared = np.r_[key[1:] == key[:-1], False]
+        open_ = np.sort(open_[shared | np.r_[False, shared[:-1]]])
         span *= 2
-    order = np.argsort(ranks[-1], kind="stable")
+    order = np.argsort(rank, kind="stable")
     a, b, lcp = order[1:], order[:-1], np.zeros(max(0, n - 1), dtype=np.int64)
     for k in range(len(ranks) - 1, -1, -1):
         fits = np.maximum(a, b) + lcp < n
