@@ -10,8 +10,6 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,15 +34,16 @@ def collapse(df: DataFrame, value: str, by: Sequence[str], weights: Mapping[str,
 
 
 def _range_of(edges: Sequence[float], value: str) -> Column:
+    """How many of the ascending edges are at or below the value, by halving steps over one array literal."""
     if not edges:
         return F.lit(0)
-    bounds = np.asarray(edges)
-
-    @F.pandas_udf("int")
-    def place(x: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, x.to_numpy(), side="right").astype("int32"))
-
-    return place(F.col(value))
+    bounds = F.array(*[F.lit(float(e)) for e in edges])
+    steps = F.array(*[F.lit(2**k) for k in reversed(range(len(edges).bit_length()))])
+    return F.aggregate(
+        steps,
+        F.lit(0),
+        lambda n, step: F.when(F.get(bounds, n + step - 1) <= F.col(value), n + step).otherwise(n),
+    )
 
 
 def prefix_counts(

@@ -78,15 +78,6 @@ def opening_win_by_map(
     ).orderBy(by)
 
 
-def openings(rounds: DataFrame, kills: DataFrame, keys: Sequence[str] = K3) -> DataFrame:
-    """One row per round and opening side with the number of tied first kills, ``n``."""
-    counted = opening_counts(rounds, kills, keys)
-    both = F.array(*[F.struct(F.lit(s).alias("opening_side"), F.col(f"n_{s}").alias("n")) for s in SIDES])
-    return counted.select(*keys, "winner", F.inline(both)).filter(
-        (F.col("n") > 0) & F.col("winner").isin(SIDES)
-    )
-
-
 # --- first kill and equipment ----------------------------------------------------------------
 
 
@@ -248,10 +239,13 @@ def with_map(rounds: DataFrame, header: DataFrame, header_keys: Sequence[str] =
 
 
 def side_rate(rounds: DataFrame, by: Sequence[str] = (), p0: float = 0.5) -> DataFrame:
-    """Share of rounds won by t, against even odds. Rounds without a stratum are left out."""
+    """Share of rounds won by t, against even odds; strata by share, from the highest. Rounds without a stratum are
+    left out."""
     won = F.upper(F.coalesce("winner", F.lit("")))
     decided = rounds.withColumn("_winner", won).filter(F.col("_winner").isin("CT", "T")).dropna(subset=list(by))
     out = ct.binomial_rates(decided, F.col("_winner") == "T", by, p0)
+    if by:
+        out = out.orderBy((F.col("k") / F.col("n")).desc(), *by)
     return out.withColumns(
         {"ct_wins": F.col("n") - F.col("k"), "sig": stats.stars("p_binom"), "rejected": stats.rejects("p_binom")}
     ).withColumnRenamed("k", "t_wins")
