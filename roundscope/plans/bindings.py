@@ -22,6 +22,12 @@ PART_CATEGORIES = {"awp": ["widget"], "rifles": ["ring"], "smgs": ["bolt"], "hea
 
 EVENT_LABELS = [("planted", ("purchase",)), ("defused", ("signup",)), ("explode", ("error",))]
 
+# Inventory spellings of all categories and of none.
+WEAPONS = [
+    "AWP", "AK-47", "M4A1-S", "Galil AR", "MP9", "P90", "Nova", "Sawed-Off", "Negev", "Glock-18", "Desert Eagle",
+    "Dual Berettas", "R8 Revolver", "Knife", "Smoke Grenade",
+]
+
 HOUR = 3_600_000_000
 DAY = 24 * HOUR
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from ..functions.items import CATEGORIES
+from .bindings import WEAPONS
+
 ORACLE: dict[str, str] = {}
 
 
@@ -781,3 +784,19 @@ SELECT DISTINCT ON (event_id) match_id, event, event_id, "playerSteamID", t_sec
          substr(sha1(coalesce(CAST(event_id AS VARCHAR),'None') || '|'), 1, 16) AS event_id, CAST(user_id AS VARCHAR) AS "playerSteamID", round(value, 6) AS t_sec
   FROM events) WHERE event IS NOT NULL
 """
+
+ORACLE["url_manifest"] = """
+SELECT url, regexp_replace(url, '[^0-9A-Za-z._-]', '_', 'g') AS slug FROM pages WHERE url IS NOT NULL AND url <> ''
+"""
+
+
+def _count_of(words: list[str], name: str) -> str:
+    hit = " OR ".join(f"contains(x,'{w}')" for w in words)
+    return f"CAST(len([x FOR x IN items IF {hit}]) AS BIGINT) AS {name}"
+
+
+ORACLE["weapon_categories"] = f"""
+SELECT p_partkey, {", ".join(_count_of(words, name) for name, words in CATEGORIES.items())}
+FROM (SELECT p_partkey, [lower(w[p_partkey % len(w) + 1]), lower(w[p_size % len(w) + 1]), lower(p_brand)] AS items
+      FROM (SELECT *, [{", ".join(f"'{w}'" for w in WEAPONS)}] AS w FROM part))
+"""

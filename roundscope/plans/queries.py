@@ -242,6 +242,16 @@ def item_flags(spark, d):
     )
 
 
+@query
+def weapon_categories(spark, d):
+    """Counts per category, with the real lists, of inventories that parts are dealt."""
+    names = F.array(*[F.lit(x) for x in b.WEAPONS])
+    dealt = [F.get(names, (F.col(c) % len(b.WEAPONS)).cast("int")) for c in ("p_partkey", "p_size")]
+    listed = it.items(F.to_json(F.array(*dealt, "p_brand")))
+    counts = [it.count_of(words, listed).alias(category) for category, words in it.CATEGORIES.items()]
+    return rounded(b.table(spark, d, "part").select("p_partkey", *counts))
+
+
 # --- timing --------------------------------------------------------------------------------------
 
 
@@ -498,6 +508,14 @@ def url_slugs(spark, d):
     )
 
 
+@query
+def url_manifest(spark, d):
+    """The urls of the pages as a list of links in a text file, read back with their slugs."""
+    path = new_folder(spark, "links")
+    b.table(spark, d, "pages").select("url").filter("url is not null").write.text(path)
+    return feed.url_manifest(spark, path)
+
+
 @query
 def page_triage(spark, d):
     found = feed.triage(b.table(spark, d, "pages"), "html", min_bytes=1000)
