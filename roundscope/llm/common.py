@@ -60,12 +60,12 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column
 
     ``learn`` is a condition on the label rows. Documents are taken in the order of a hash of their id, so the sample
     does not depend on the layout of the files. Only its ids, never more than two times ``max_rows``, are broadcast.
-    Texts over a hundredth of the byte bound are not learned from.
+    Texts over a hundredth of the byte bound are not learned from; of texts that share an id the least one is.
     """
     marks = _marks(labels, label, learn).withColumn("at", F.xxhash64("doc_id"))
     ids = [marks.where(F.col("label") == v).orderBy("at", "doc_id").limit(max_rows) for v in (0, 1)]
     rows = text_rows(docs).where(F.octet_length("text") <= max_bytes // 100)
-    rows = rows.join(F.broadcast(ids[0].union(ids[1])), "doc_id").dropDuplicates(["doc_id"])
+    rows = rows.join(F.broadcast(ids[0].union(ids[1])), "doc_id").groupBy("at", "doc_id", "label").agg(F.min("text").alias("text"))
     found = rows.select("at", "doc_id", "text", "label").toPandas().sort_values(["at", "doc_id"], kind="stable")
     used = found["text"].map(lambda t: len(t.encode())).astype("int64").groupby(found["label"]).cumsum()
     return found[used <= max_bytes][["text", "label"]].reset_index(drop=True)
