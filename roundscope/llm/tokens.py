@@ -36,7 +36,7 @@ from roundscope.session import new_folder
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Characters of text in a block.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 12_000_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -144,22 +144,27 @@ def word_places(docs: DataFrame, pattern: str, id_col: str = "doc_id", text_col:
     spark, rows = docs.sparkSession, text_rows(docs, id_col, text_col)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def cut(frame: pd.DataFrame, find) -> tuple[pd.DataFrame, pd.DataFrame]:
+        """The rows of a block: its documents and its words."""
+        block, met = uuid.uuid4().int >> 65, WordNumbers(find)
+        places = [np.array(met.places(text), dtype=np.int32) for text in frame["text"]]
+        words = [w.encode() for w in met.numbers]
+        part = np.array([zlib.crc32(w) % parts for w in words], dtype=np.int64)
+        order = np.argsort(part, kind="stable")
+        number = np.empty(len(words), dtype=np.int32)
+        number[order] = np.arange(len(words), dtype=np.int32)
+        packed = [pack(number[p]) for p in places]
+        part = part[order]
+        starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
+        lists = [pack_lists([words[i] for i in order[a:b]]) for a, b in zip(starts, np.r_[starts[1:], len(part)])]
+        documents = {"block": block, "doc_id": frame["doc_id"], "places": packed, "part": None, "first": None, "words": None}
+        spelled = {"block": block, "doc_id": None, "places": None, "part": part[starts], "first": starts, "words": lists}
+        return pd.DataFrame(documents), pd.DataFrame(spelled)
+
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         find = regex.compile(pattern).findall
         for frame in frames_by_bytes(batches, BLOCK_CHARS):
-            block, met = uuid.uuid4().int >> 65, WordNumbers(find)
-            places = [np.array(met.places(text), dtype=np.int32) for text in frame["text"]]
-            words = [w.encode() for w in met.numbers]
-            part = np.array([zlib.crc32(w) % parts for w in words], dtype=np.int64)
-            order = np.argsort(part, kind="stable")
-            number = np.empty(len(words), dtype=np.int32)
-            number[order] = np.arange(len(words), dtype=np.int32)
-            packed = [pack(number[p]) for p in places]
-            yield pd.DataFrame({"block": block, "doc_id": frame["doc_id"], "places": packed, "part": None, "first": None, "words": None})
-            part = part[order]
-            starts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.empty(0, np.int64)
-            lists = [pack_lists([words[i] for i in order[a:b]]) for a, b in zip(starts, np.r_[starts[1:], len(part)])]
-            yield pd.DataFrame({"block": block, "doc_id": None, "places": None, "part": part[starts], "first": starts, "words": lists})
+            yield from cut(frame, find)
 
     schema = f"block long, doc_id {type_of(rows, 'doc_id')}, places binary, part int, first int, words binary"
     name = f"blocks_{uuid.uuid4().hex}"
