@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import sys
+import threading
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -28,8 +29,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker keeps from task to task; beyond it the cache starts anew.
+#: Words whose ids a worker keeps from task to task; beyond it the cache starts anew. A worker without a task for so
+#: many seconds lets them go.
 CACHE_WORDS = 1_000_000
+CACHE_SECONDS = 3.0
 #: Pieces of one length that are ranked in one window; there are as many buckets as shuffle partitions at least.
 RANKED_ROWS = 100_000
 
@@ -44,23 +47,35 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
-
-    def learn(self, words: set[str]) -> None:
-        """Make sure that the ids of these words are known."""
-        fresh = [w for w in words if w not in self.known]
-        if len(self.known) + len(fresh) > CACHE_WORDS:
-            self.known, fresh = {}, [*words]
+        self.idle: threading.Timer | None = None
+
+    def rest(self) -> None:
+        """Between tasks: forget the words unless the next task comes soon."""
+        self.idle = threading.Timer(CACHE_SECONDS, setattr, (self, "known", {}))
+        self.idle.daemon = True
+        self.idle.start()
+
+    def learn(self, words: set[str]) -> dict[str, bytes]:
+        """The known words, these among them."""
+        if self.idle:
+            self.idle.cancel()
+        known = self.known
+        fresh = [w for w in words if w not in known]
+        if len(known) + len(fresh) > CACHE_WORDS:
+            self.known = known = {}
+            fresh = [*words]
         for a in range(0, len(fresh), 10_000):
             part = fresh[a : a + 10_000]
             found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found))
+            known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found))
+        return known
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text. Texts are cut at blanks and line ends only, which no token of the tokenizer crosses."""
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        self.learn(set().union(*cut))
+        known = self.learn(set().union(*cut))
         for words in cut:
-            yield b"".join(map(self.known.__getitem__, words))
+            yield b"".join(map(known.__getitem__, words))
 
 
 def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,6 +99,7 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_i
                     part = ids[a : a + size]
                     out.append((doc_id, n, a // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        words.rest()
 
     rows = text_rows(docs, id_col, text_col)
     return rows.mapInPandas(step, f"doc_id {type_of(rows, 'doc_id')}, piece int, start long, length long, ids_crc32 long")
