@@ -40,9 +40,9 @@ ANCHORS = 8
 #: A gram is frequent if it is more than this many times, and one in this many of all anchors, in the corpus.
 FREQUENT, FREQUENT_SHARE = 256, 1_000_000
 #: Bytes of text that are cut into sections in one step, windows of a section, and bytes of sections in a shard.
-SLAB = 1 << 21
+SLAB = 1 << 20
 SECTION = 1024
-SHARD_BYTES = 6_000_000
+SHARD_BYTES = 3_000_000
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -106,7 +106,7 @@ def frequent_grams(rows: DataFrame, width: int = WIDTH) -> np.ndarray:
                 total += int(n.sum())
                 values, at = np.unique(np.r_[values, v], return_inverse=True)
                 counts = np.bincount(at, np.r_[counts, n], len(values)).astype(np.int64)
-                if len(values) > 4_000_000:  # the rare ones start anew
+                if len(values) > 1_000_000:  # the rare ones start anew
                     values, counts = values[counts > 1], counts[counts > 1]
         kept = counts >= 4
         yield pd.DataFrame({"gram": np.r_[values[kept].view(np.int64), np.int64(0)], "n": np.r_[counts[kept], 0], "total": np.r_[np.zeros(kept.sum(), np.int64), total]})
