@@ -10,7 +10,9 @@ A byte goes if some string of ``width`` bytes that covers it also starts at anot
    their name's gram twice, go on, one copy of each.
 3. Those are dealt to shards by name; each shard sorts its suffixes by external induced sorting (``suffixes``), and
    windows whose common prefix with a neighbour reaches the width repeat.
-4. Repeating windows are joined back to all sections they stand for, and each document is cut.
+4. A name whose sections are too many for that, as when many documents hold one passage between different
+   surroundings, is dealt by content instead: its windows are hashed whole, and Spark counts the hashes.
+5. Repeating windows are joined back to all sections they stand for, and each document is cut.
 """
 
 from __future__ import annotations
@@ -43,6 +45,8 @@ FREQUENT, FREQUENT_SHARE = 256, 1_000_000
 SLAB = 1 << 20
 SECTION = 1024
 SHARD_BYTES = 3_000_000
+#: A name whose sections hold over one in this many of a shard's bytes is not sorted in one shard.
+NAME_SHARE = 4
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -185,6 +189,13 @@ def _runs(hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2] - edges[::2]
 
 
+RUNS = "name long, c1 long, c2 long, run int, run_n int"
+
+
+def _run_frame(out: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(out, columns=["name", "c1", "c2", "run", "run_n"]).astype({"name": "int64", "c1": "int64", "c2": "int64", "run": "int32", "run_n": "int32"})
+
+
 def _sort_shard(width: int, memory: int):
     def step(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -194,11 +205,56 @@ def _sort_shard(width: int, memory: int):
         for name, c1, c2, copies, hit in zip(frame["name"], frame["c1"], frame["c2"], frame["copies"], hits):
             begin, n = _runs(np.ones(len(hit), dtype=bool) if copies > 1 else hit)
             out += [(name, c1, c2, int(a), int(k)) for a, k in zip(begin, n)]
-        return pd.DataFrame(out, columns=["name", "c1", "c2", "run", "run_n"]).astype({"name": "int64", "c1": "int64", "c2": "int64", "run": "int32", "run_n": "int32"})
+        return _run_frame(out)
 
     return step
 
 
+def _window_hashes(data: bytes, n: int, width: int) -> np.ndarray:
+    """128-bit hashes of the first n windows, as (n, 2) numbers."""
+    return np.frombuffer(b"".join([xxhash.xxh3_128_digest(data[a : a + width]) for a in range(n)]), dtype="<i8").reshape(-1, 2)
+
+
+def _as_keys(hashes: np.ndarray) -> np.ndarray:
+    """Pairs of numbers as single values that sort and compare as a whole."""
+    return np.ascontiguousarray(hashes, dtype="<i8").view([("w1", "<i8"), ("w2", "<i8")]).ravel()
+
+
+def _count_windows(width: int):
+    def step(frame: pd.DataFrame) -> pd.DataFrame:
+        hashes = np.concatenate([_window_hashes(data, n, width) for data, n in zip(frame["data"], frame["n"])])
+        found, met = np.unique(_as_keys(hashes), return_counts=True)
+        return pd.DataFrame({"shard": frame["shard"].iloc[0], "w1": found["w1"], "w2": found["w2"], "met": met})
+
+    return step
+
+
+def _find_windows(width: int):
+    def step(key, frame: pd.DataFrame, repeated: pd.DataFrame) -> pd.DataFrame:
+        known, out = np.sort(_as_keys(repeated[["w1", "w2"]].to_numpy())), []
+        for name, c1, c2, copies, n, data in zip(frame["name"], frame["c1"], frame["c2"], frame["copies"], frame["n"], frame["data"]):
+            hit = np.ones(n, dtype=bool)
+            if copies == 1:
+                own = _as_keys(_window_hashes(data, n, width))
+                hit = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own if len(known) else ~hit
+            out += [(name, c1, c2, int(a), int(k)) for a, k in zip(*_runs(hit))]
+        return _run_frame(out)
+
+    return step
+
+
+def counted_runs(hot: DataFrame, width: int) -> DataFrame:
+    """(name, c1, c2, run, run_n): runs of repeating windows in sections dealt to shards by their content.
+
+    A shard hands on each of its windows once, with its count, so one that all sections share is a row per shard.
+    """
+    hot = stored(hot)
+    windows = stored(hot.select("shard", "n", "data").groupBy("shard").applyInPandas(_count_windows(width), "shard long, w1 long, w2 long, met long"))
+    again = windows.groupBy("w1", "w2").agg(F.sum("met").alias("met")).where("met > 1")
+    repeated = windows.select("shard", "w1", "w2").join(again, ["w1", "w2"], "leftsemi")
+    return hot.groupBy("shard").cogroup(repeated.groupBy("shard")).applyInPandas(_find_windows(width), RUNS)
+
+
 def repeated_windows(rows: DataFrame, width: int = WIDTH, memory: int = suffixes.MEMORY) -> DataFrame:
     """(text_key, start, n): runs of n windows that repeat, from byte ``start``; rows of (text_key, text)."""
     found = sections(rows, frequent_grams(rows, width), width)
@@ -214,19 +270,26 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH, memory: int = suffixes
         F.count(F.lit(1)).alias("copies"), F.min(F.struct("text_key", "start", "n")).alias("one")
     )
     compared = stored(compared.select("name", "c1", "c2", "copies", "one.*"))
-    size = compared.agg(F.sum(F.col("n") + width)).first()[0] or 0
-    shards = max(1, -(-size // SHARD_BYTES))
+    sizes = stored(compared.groupBy("name").agg(F.sum(F.col("n") + width).alias("size")))
+    hot = F.col("size") > SHARD_BYTES // NAME_SHARE
+    size, large = sizes.agg(F.sum(F.when(~hot, F.col("size"))), F.sum(F.when(hot, F.col("size")))).first()
+    shards, spread = (max(1, -(-(x or 0) // SHARD_BYTES)) for x in (size, large))
+    compared = compared.join(sizes.where(hot).select("name", F.lit(True).alias("hot")), "name", "left").fillna(False, ["hot"])
     holders = rows.join(compared.select("text_key").distinct(), "text_key", "leftsemi").groupBy("text_key").agg(F.first("text").alias("text"))
     texts = compared.join(holders, "text_key").select(
-        F.pmod(F.xxhash64("name"), F.lit(shards)).alias("shard"),
+        "hot",
+        F.when(F.col("hot"), F.pmod(F.xxhash64("c1", "c2"), F.lit(spread))).otherwise(F.pmod(F.xxhash64("name"), F.lit(shards))).alias("shard"),
         "name",
         "c1",
         "c2",
         "copies",
+        "n",
         F.substring(F.col("text").cast("binary"), F.col("start").cast("int") + 1, F.col("n") + (width - 1)).alias("data"),
     )
-    sorted_runs = texts.groupBy("shard").applyInPandas(_sort_shard(width, memory), "name long, c1 long, c2 long, run int, run_n int")
-    runs = met.where("not copied").join(sorted_runs, ["name", "c1", "c2"]).select("text_key", (F.col("start") + F.col("run")).alias("start"), F.col("run_n").alias("n"))
+    found_runs = texts.where("not hot").drop("hot", "n").groupBy("shard").applyInPandas(_sort_shard(width, memory), RUNS)
+    if large:
+        found_runs = found_runs.union(counted_runs(texts.where("hot").drop("hot"), width))
+    runs = met.where("not copied").join(found_runs, ["name", "c1", "c2"]).select("text_key", (F.col("start") + F.col("run")).alias("start"), F.col("run_n").alias("n"))
     return met.where("copied").select("text_key", "start", "n").union(runs)
 
 

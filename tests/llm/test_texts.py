@@ -80,6 +80,27 @@ def test_texts_are_cut_into_slabs(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == [(i, *e) for (i, _), e in zip(rows, expected_cut([t for _, t in rows], 400))]
 
 
+def test_shared_passage_is_spread_over_shards(spark, monkeypatch):
+    """No shard that is sorted gets all the sections of a passage that many documents hold."""
+    limit, sort = 30_000, suffixes.repeated_starts
+
+    def bounded(parts, *rest):
+        if sum(map(len, parts)) > 3 * limit:
+            raise MemoryError(f"{sum(map(len, parts))} bytes in a shard")
+        return sort(parts, *rest)
+
+    monkeypatch.setattr(dedup, "SHARD_BYTES", limit)
+    monkeypatch.setattr(suffixes, "repeated_starts", bounded)
+    rng = random.Random(3)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage, other = prose(410), prose(700)
+    texts = [prose(rng.randint(60, 150)) + passage + prose(rng.randint(0, 150)) for _ in range(600)]
+    texts += [prose(40) + passage[:390] + prose(200), prose(30) + other + prose(20), other[200:] + passage, texts[0][5:], (passage + " ") * 2]
+    rows = list(enumerate(texts)) + [(7, texts[7])]
+    found = dedup.kept_digests(table(spark, rows))
+    assert sorted(map(tuple, found.collect())) == sorted((i, *e) for (i, _), e in zip(rows, expected_cut([t for _, t in rows], 400)))
+
+
 # --- tokens and packing ---------------------------------------------------------------------
 
 ODD = [
