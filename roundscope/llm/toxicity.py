@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, and one that also knows what sets toxic text apart.
-Every window of a text is compressed with both; where the toxic one saves bytes, the window resembles toxic text. The
+One zstandard dictionary is trained on ordinary text; a second one also holds what sets toxic text apart. That part is
+selected, not trained: dictionaries trained on toxic text find far fewer toxic texts (figures in the README). Every
+window of a text is compressed with both; where the toxic one saves bytes, the window resembles toxic text. The
 greatest savings of a text are turned into a probability by thresholds that are calibrated on labelled texts.
 
 The toxic dictionary is the ordinary one, followed by the word parts that labelled toxic texts have far more often.
