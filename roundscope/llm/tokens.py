@@ -6,7 +6,8 @@
    by joining pairs of least rank, and its ids go back to every block that holds it.
 3. Blocks and ids are joined, and each document is put together by its places. Blocks are stored in buckets, so
    only the ids move.
-4. Decoding joins ids to the table of token bytes and puts the bytes together in the order of the ids.
+4. Decoding takes a document's whole sequence of ids, looks each id up in the table of token bytes, which every task has
+   by broadcast, and puts the bytes together in the order of the ids. ``decode`` does the same for a table of ids.
 
 A frequent word is handed on once per block, whatever its count, and a block is bounded by its characters of text (a
 single longer text is a block by itself), so no step gathers what grows with the corpus.
@@ -37,6 +38,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Characters of text in a block.
 BLOCK_CHARS = 12_000_000
+#: Ids that are written out and decoded in one step.
+STEP_IDS = 1 << 16
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -215,12 +218,24 @@ def decode(rows: DataFrame, tokens: DataFrame, key: str, ids: str = "ids") -> Da
     return rows.select(key).join(found, key, "left").select(key, F.coalesce("decoded", F.unhex(F.lit(""))).alias("decoded"))
 
 
+def document_ids(numbers: np.ndarray, ids: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The ids of a document with these word numbers; word k of the block has ``ids[bounds[k] : bounds[k + 1]]``."""
+    begin = bounds[numbers]
+    count = bounds[numbers + 1] - begin
+    return ids[np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())]
+
+
+def spelled(ids: list[int], token: dict[int, bytes]) -> bytes:
+    """The bytes of a sequence of ids."""
+    return b"".join([token[i] for i in ids])
+
+
 def coded_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, reader, schema: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Encode and decode whole texts: doc_id and the ``schema`` columns, one row per row of ``docs``.
 
-    ``reader(ids, decoded)`` gets the ids and the decoded bytes of each word of a block and returns a function from
-    the word numbers of a document, in order, to the tuple of its ``schema`` columns. Null and empty texts have no
-    words; repeated rows are coded alike and all stay; other columns are not read; an empty table gives no rows.
+    ``reader(token)`` gets the bytes of each id and returns a function from the ids of a document, in order, to the
+    tuple of its ``schema`` columns. Null and empty texts have no ids; repeated rows are coded alike and all stay;
+    other columns are not read; an empty table gives no rows.
     """
     table = word_places(docs, pattern, id_col, text_col)
     coded = encode_words(table.where("words is not null"), ranks)
@@ -230,11 +245,14 @@ def coded_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, read
     names = ["doc_id", *[c.split()[0] for c in schema.split(",")]]
 
     def assemble(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        token = shared.value
         packed = right["ids"].to_numpy()[np.argsort(right["first"].to_numpy(dtype=np.int64))]
-        ids = [np.frombuffer(own, dtype="<i4").tolist() for data in packed for own in unpack_lists(data)]
-        finish = reader(ids, [b"".join([token[i] for i in own]) for own in ids])
-        rows = [(doc_id, *finish(unpack(places).tolist())) for doc_id, places in zip(left["doc_id"], left["places"])]
+        flat, counts = [np.empty(0, dtype="<i4")], [np.zeros(1, dtype=np.int64)]
+        for data in packed:
+            words = unpack_lists(data)
+            flat.append(np.frombuffer(b"".join(words), dtype="<i4"))
+            counts.append(np.array([len(w) // 4 for w in words], dtype=np.int64))
+        ids, bounds, finish = np.concatenate(flat), np.cumsum(np.concatenate(counts)), reader(shared.value)
+        rows = [(doc_id, *finish(document_ids(unpack(places), ids, bounds))) for doc_id, places in zip(left["doc_id"], left["places"])]
         return pd.DataFrame(rows, columns=names)
 
     return texts.groupBy("block").cogroup(coded.groupBy("owner")).applyInPandas(assemble, f"doc_id {type_of(texts, 'doc_id')}, {schema}")
@@ -243,9 +261,10 @@ def coded_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, read
 def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>, decoded binary) of whole texts."""
 
-    def reader(ids, decoded):
-        def finish(numbers: list[int]) -> tuple:
-            return [i for n in numbers for i in ids[n]], b"".join([decoded[n] for n in numbers])
+    def reader(token):
+        def finish(ids: np.ndarray) -> tuple:
+            listed = ids.tolist()
+            return listed, spelled(listed, token)
 
         return finish
 
@@ -255,13 +274,16 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_
 def digests(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of whole texts; ids are hashed as decimals joined by a space."""
 
-    def reader(ids, decoded):
-        shown, count = [" ".join(map(str, x)).encode() for x in ids], np.array([len(x) for x in ids], dtype=np.int64)
+    def reader(token):
+        shown = {i: b" %d" % i for i in token}
 
-        def finish(numbers: list[int]) -> tuple:
-            listed = hashlib.sha256(b" ".join([shown[n] for n in numbers]))
-            spelled = hashlib.sha256(b"".join([decoded[n] for n in numbers]))
-            return int(count[numbers].sum()) if numbers else 0, listed.hexdigest(), spelled.hexdigest()
+        def finish(ids: np.ndarray) -> tuple:
+            listed, decoded = hashlib.sha256(), hashlib.sha256()
+            for a in range(0, len(ids), STEP_IDS):
+                part = ids[a : a + STEP_IDS].tolist()
+                listed.update(b"".join([shown[i] for i in part])[0 if a else 1 :])
+                decoded.update(spelled(part, token))
+            return len(ids), listed.hexdigest(), decoded.hexdigest()
 
         return finish
 

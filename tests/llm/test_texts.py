@@ -126,6 +126,21 @@ def test_tokens(spark):
     assert {r.doc_id: bytes(r.decoded) for r in back.collect()} == {i: t.encode() for i, t in rows[:5]}
 
 
+def test_decoded_hash_follows_the_ids(spark, monkeypatch):
+    """What is decoded is a document's own sequence of ids: a fault in it shows in both hashes."""
+    monkeypatch.setattr(tokens, "STEP_IDS", 3)
+    ranks = queries.byte_bpe_ranks()
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rows, join = [*enumerate(ODD)], tokens.document_ids
+    for step in (1, -1):
+        monkeypatch.setattr(tokens, "document_ids", lambda *args: join(*args)[::step])  # noqa: B023
+        found = {r.doc_id: tuple(r)[1:] for r in tokens.digests(table(spark, rows), ranks, public_tokenizers.PATTERN).collect()}
+        for i, t in rows:
+            ids = own.encode_ordinary(t or "")[::step]
+            texts = " ".join(map(str, ids)).encode(), own.decode_bytes(ids)
+            assert found[i] == (len(ids), *[hashlib.sha256(x).hexdigest() for x in texts])
+
+
 def test_both_ways_of_joining_pairs_agree():
     ranks = queries.byte_bpe_ranks()
     rng = random.Random(4)
