@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roundscope.llm import classifier, dedup, fingerprints, language, packing, quality, simhash, tokens, toxicity, urls
+from roundscope.llm import align, classifier, dedup, extract, fingerprints, language, lexical, packing, quality, simhash, tokens, toxicity, urls
 from roundscope.llm.common import fold, read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -190,3 +190,22 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.kept_digests(read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op12_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        a_json = file.read()
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        b_model = file.read()
+    return align.align(read(spark, sf_dir, "documents"), a_json, b_model)
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.build(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))

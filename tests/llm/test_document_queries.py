@@ -25,6 +25,6 @@ def test_names():
     import __spark_entry__ as entry
 
     assert {q for q in entry.queries() if q.startswith("op")} >= set(queries.QUERIES)
-    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES) == list(range(1, 14))
     assert entry.queries()["pipeline"] is corpus_pipeline.run
     assert len(corpus_pipeline.STAGES) == 5
