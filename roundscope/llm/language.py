@@ -25,6 +25,8 @@ SEED = 20
 UNKNOWN = "und"
 #: Characters whose trigrams are bundled in one step.
 STEP_CHARS = 1 << 20
+#: Distinct trigrams whose vectors are in memory at a time.
+STEP_GRAMS = 16_000
 
 
 def letter_vector(code: int, dimensions: int = DIMENSIONS) -> np.ndarray:
@@ -51,8 +53,8 @@ class Letters:
 
     def trigrams(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Bound vectors, one row for each trigram."""
-        table = np.array(self.rows, dtype=np.int8)
-        return np.roll(table, 2, axis=1)[a] * np.roll(table, 1, axis=1)[b] * table[c]
+        first, second, third = (np.array([self.rows[i] for i in x.tolist()], dtype=np.int8) for x in (a, b, c))
+        return np.roll(first, 2, axis=1) * np.roll(second, 1, axis=1) * third
 
 
 def bundles(texts: list[str], letters: Letters) -> tuple[np.ndarray, np.ndarray]:
@@ -72,14 +74,17 @@ def bundles(texts: list[str], letters: Letters) -> tuple[np.ndarray, np.ndarray]
     size = len(letters.rows)
     code = ((a * size + b) * size + c)[inside]
     grams, where = np.unique(code, return_inverse=True)
-    bound = letters.trigrams(grams // size // size, grams // size % size, grams % size).astype(np.float32)
     cell, n = np.unique(doc[:-2][inside] * max(1, len(grams)) + where, return_counts=True)
     owner, gram = cell // max(1, len(grams)), cell % max(1, len(grams))
     out = np.zeros((len(texts), letters.dimensions), dtype=np.float32)
-    ends = np.searchsorted(owner, np.arange(len(texts) + 1))
-    for i, (begin, end) in enumerate(zip(ends[:-1], ends[1:])):
-        if begin < end:
-            out[i] = n[begin:end].astype(np.float32) @ bound[gram[begin:end]]
+    for low in range(0, len(grams), STEP_GRAMS):
+        part = grams[low : low + STEP_GRAMS]
+        bound = letters.trigrams(part // size // size, part // size % size, part % size).astype(np.float32)
+        at = np.flatnonzero((gram >= low) & (gram < low + STEP_GRAMS)) if len(grams) > STEP_GRAMS else np.arange(len(gram))
+        owners, begins = np.unique(owner[at], return_index=True)
+        for i, begin, end in zip(owners, begins, np.r_[begins[1:], len(at)]):
+            held = at[begin:end]
+            out[i] += n[held].astype(np.float32) @ bound[gram[held] - low]
     return out, total
 
 

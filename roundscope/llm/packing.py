@@ -10,8 +10,8 @@ neither pieces nor sequences pass through the driver.
 from __future__ import annotations
 
 import os
+import re
 import sys
-import threading
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -22,23 +22,36 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundscope.llm.common import frames_by_bytes, text_rows, type_of
+from roundscope.llm.common import text_rows, type_of
 from roundscope.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 4096
 END_ID = 1
-#: Words whose ids a worker keeps from task to task; beyond it the cache starts anew. A worker without a task for so
-#: many seconds lets them go.
-CACHE_WORDS = 1_000_000
-CACHE_SECONDS = 3.0
+#: Words whose ids a task keeps; beyond them it starts anew.
+CACHE_WORDS = 300_000
 #: Pieces of one length that are ranked in one window; there are as many buckets as shuffle partitions at least.
 RANKED_ROWS = 100_000
 
 
-class WordIds:
-    """Ids of the words of a tokenizer that drops white space, as little-endian bytes, cached."""
+#: Letters that are one character each in lower case and in normal form, then ASCII marks but for the apostrophe: the
+#: tokenizer takes the letters and the marks as one word each.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    others = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class WordIds(dict):
+    """Ids of the words of a byte-level tokenizer that folds case and drops white space, as little-endian bytes.
+
+    Words of letters and marks go straight to the tokenizer's model, others through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer_json: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -46,36 +59,31 @@ class WordIds:
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.idle: threading.Timer | None = None
-
-    def rest(self) -> None:
-        """Between tasks: forget the words unless the next task comes soon."""
-        self.idle = threading.Timer(CACHE_SECONDS, setattr, (self, "known", {}))
-        self.idle.daemon = True
-        self.idle.start()
-
-    def learn(self, words: set[str]) -> dict[str, bytes]:
-        """The known words, these among them."""
-        if self.idle:
-            self.idle.cancel()
-        known = self.known
-        fresh = [w for w in words if w not in known]
-        if len(known) + len(fresh) > CACHE_WORDS:
-            self.known = known = {}
-            fresh = [*words]
-        for a in range(0, len(fresh), 10_000):
-            part = fresh[a : a + 10_000]
-            found = self.tokenizer.encode_batch(part, add_special_tokens=False)
-            known.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(part, found))
-        return known
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
-        """Ids of each text. Texts are cut at blanks and line ends only, which no token of the tokenizer crosses."""
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        known = self.learn(set().union(*cut))
-        for words in cut:
-            yield b"".join(map(known.__getitem__, words))
+        self.merge = self.tokenizer.model.tokenize
+        self.letters, self.parts = byte_letters(), {}
+
+    def __missing__(self, word: str) -> bytes:
+        plain = PLAIN.fullmatch(word)
+        if plain:
+            self[word] = ids = b"".join([self._part(p) for p in plain.groups() if p])
+        else:
+            self[word] = ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return ids
+
+    def _part(self, part: str) -> bytes:
+        part = part.lower()
+        ids = self.parts.get(part)
+        if ids is None:
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+            self.parts[part] = ids = np.array([t.id for t in self.merge(spelled)], dtype="<u4").tobytes()
+        return ids
+
+    def ids(self, text: str) -> bytes:
+        """Ids of a text, cut at blanks and line ends only, which no token of the tokenizer crosses."""
+        if len(self) > CACHE_WORDS or len(self.parts) > CACHE_WORDS:
+            self.clear()
+            self.parts.clear()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -83,23 +91,19 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_i
 
     Null and empty texts are one piece of the end id. Repeated rows are repeated pieces; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast({"json": tokenizer_json})
+    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, size = shared.value, 4 * capacity
-        if "words" not in own:  # a worker keeps the broadcast value, and with it the words, from task to task
-            own["words"] = WordIds(own["json"])
-        words = own["words"]
-        for frame in frames_by_bytes(batches):
+        words, size = WordIds(shared.value), 4 * capacity  # the words go with the task
+        for frame in batches:
             out = []
-            for doc_id, ids in zip(frame["doc_id"], words.ids(list(frame["text"]))):
-                ids += end
+            for doc_id, text in zip(frame["doc_id"], frame["text"]):
+                ids = words.ids(text) + end
                 for n, a in enumerate(range(0, len(ids), size)):
                     part = ids[a : a + size]
                     out.append((doc_id, n, a // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-        words.rest()
 
     rows = text_rows(docs, id_col, text_col)
     return rows.mapInPandas(step, f"doc_id {type_of(rows, 'doc_id')}, piece int, start long, length long, ids_crc32 long")
