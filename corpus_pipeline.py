@@ -14,14 +14,21 @@ from roundscope.llm.queries import word_bpe_json
 from roundscope.session import stored
 
 
+#: Bytes of a passage that must not repeat: about 50 short words. Passages of over 50 words are longer.
+PASSAGE_BYTES = 200
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose windows resemble toxic text go. The model learns from labelled documents of this input."""
+    """Documents whose windows resemble toxic text go. The model learns from labelled documents of this input.
+
+    Null and empty texts stay, repeated rows are judged alike, and without labels or rows none goes.
+    """
     model = toxicity.learn(docs, read(spark, sf_dir, "labels"), "toxic", fold(F.col("doc_id"), 4) != 2)
     return toxicity.drop_toxic(docs, model)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules reject go."""
+    """Documents that the quality rules reject go, null and empty texts among them; repeated rows go or stay together."""
     return quality.keep_good(docs)
 
 
@@ -31,8 +38,8 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that also start elsewhere in the corpus go; n_chars follows the text."""
-    cut = dedup.with_repeats_cut(docs)
+    """Strings of ``PASSAGE_BYTES`` bytes that also start elsewhere in the corpus go; n_chars follows the text."""
+    cut = dedup.with_repeats_cut(docs, width=PASSAGE_BYTES)
     return cut.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in cut.columns else cut
 
 
