@@ -84,7 +84,7 @@ def test_stages(spark, corpus):
 
     before, docs = kept["suffix_dedup"]
     order = sorted(before)
-    expected = dict(zip(order, expected_cut([before[i] for i in order], 400)))
+    expected = dict(zip(order, expected_cut([before[i] for i in order], corpus_pipeline.PASSAGE_BYTES)))
     after = {r.doc_id: r for r in docs.collect()}
     assert {i: len(r.text.encode()) for i, r in after.items()} == {i: e[0] - e[1] for i, e in expected.items()}
     assert all(r.n_chars == len(r.text) for r in after.values())
