@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .damage import READ_ERRORS, damaged
+
 # Tick rates assumed where the header has none.
 INGEST_TICKRATE = 128.0
 ANALYSIS_TICKRATE = 64.0
@@ -30,20 +32,26 @@ def read_bundle(
     schema: StructType | str | None = None,
     fmt: str = "parquet",
     columns: Sequence[str] | None = None,
+    lenient: bool = False,
 ) -> DataFrame:
     """A table of the bundle; one that is absent or empty of files is an empty frame.
 
-    Only a missing path counts as absent: an unreadable file still fails the job.
+    An unreadable file fails the job. A ``lenient`` read takes a Parquet table that cannot be read to its end as empty;
+    for that its files are read once before.
     """
+    path = f"{root.rstrip('/')}/{table}"
     reader = spark.read.format(fmt)
     if fmt == "json":
         reader = reader.option("mode", "PERMISSIVE")
     if schema is not None:
         reader = reader.schema(schema)
     try:
-        df = reader.load(f"{root.rstrip('/')}/{table}")
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+        df = reader.load(path)
+        if lenient and fmt == "parquet" and not damaged(spark, [path], df.schema).isEmpty():
+            df = df.limit(0)
+    except READ_ERRORS as e:
+        absent = isinstance(e, AnalysisException) and e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+        if not (absent or lenient):
             raise
         df = spark.createDataFrame([], schema or StructType([]))
     return df.select(*[c for c in columns if c in df.columns]) if columns else df

@@ -5,25 +5,24 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Mapping, Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from ..operators.columns import unite
 from ..operators.snapshots import keep_first
 from ..schemas import CATALOG, UNIQUE_KEYS, WAREHOUSE
 from ..session import BROADCAST_ROWS, stored
 from .bundles import read_bundle
-
-
-# How a failed read arrives: most errors as Spark's own, those of uniting schemas as the JVM's.
-READ_ERRORS = (PySparkException, Py4JJavaError)
+from .damage import READ_ERRORS, damaged, footers, listed_files
 
 # What Spark reports where a table has no path or no files.
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
+# Folders that the rows of a table with a unique key are dealt to, by the first part of the key.
+KEY_BUCKETS = 64
+
 REJECTED = StructType([StructField(c, StringType()) for c in ("table", "path", "reason")])
 
 
@@ -43,32 +42,29 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     )
 
 
-def reason(error: Exception) -> str:
-    """What a failed read reports, in a line."""
-    text = str(error.java_exception) if isinstance(error, Py4JJavaError) else str(error)
-    return text.split("\n")[0][:500]
-
+def _sources(spark: SparkSession, paths: Sequence[str], lost: list[tuple[str, str]]) -> list[tuple[list[str], StructType]]:
+    """(paths, schema) of each read that takes the files in: one for all, or one for each schema where they clash.
 
-def _schema_groups(spark: SparkSession, files: list[str], rejected: list[tuple[str, str]]) -> list[DataFrame]:
-    """The files as frames of one schema each: halved until the schemas of a group can be united.
-
-    Files whose footer cannot be read go to ``rejected`` with the reason.
+    Files whose footer cannot be read go to ``lost`` with the reason.
     """
-    if not files:
-        return []
     try:
-        return [spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*files)]
+        united = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths)
+        return [(list(paths), united.schema)]
     except READ_ERRORS as e:
-        if len(files) == 1:
-            rejected.append((files[0], reason(e)))
-            return []
-    half = len(files) // 2
-    return _schema_groups(spark, files[:half], rejected) + _schema_groups(spark, files[half:], rejected)
+        if isinstance(e, PySparkException) and e.getCondition() in ABSENT:
+            raise
+    groups: dict[str, tuple[list[str], StructType]] = {}
+    for path, schema, why in footers(spark, sorted(r["path"] for r in listed_files(spark, paths).collect())):
+        if schema is None:
+            lost.append((path, why))
+        else:
+            groups.setdefault(schema.json(), ([], schema))[0].append(path)
+    return list(groups.values())
 
 
 def read_sources(
     spark: SparkSession, paths: str | Sequence[str], schema: StructType, match: Column | None = None,
-    rejected: list[tuple[str, str]] | None = None,
+    rejected: list[tuple[str, str]] | None = None, probe: bool = False,
 ) -> DataFrame:
     """All files of one table, with the match id of each row taken from its path.
 
@@ -76,26 +72,29 @@ def read_sources(
     is never read, and values are cast to the declared types where they can be. Files are found at
     any depth. ``match`` defaults to the stem of the file.
 
-    One scan serves unless the types of a column clash, be it declared or not: then files are read in
-    groups that agree. (path, reason) of unreadable files are added to ``rejected``; without that
-    list they fail the job.
+    One scan serves unless the types of a column clash, be it declared or not, or a footer is unreadable: then
+    there is one scan for each distinct schema. (path, reason) of unreadable files are added to ``rejected``; without
+    that list they fail the job. With ``probe`` files are read to their end first, and those that cannot be are left
+    out as well.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     lost: list[tuple[str, str]] = []
-    try:
-        groups = [spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(*paths)]
-    except READ_ERRORS as e:
-        if isinstance(e, PySparkException) and e.getCondition() in ABSENT:
-            raise
-        listed = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
-        files = sorted(r["path"] for r in listed.load(paths).select("path").collect())
-        groups = _schema_groups(spark, files, lost)
-        if lost and rejected is None:
-            raise
+    sources = _sources(spark, paths, lost)
+    if lost and rejected is None:
+        raise ValueError(f"{lost[0][0]}: {lost[0][1]}")
+    match = stem(F.col("_metadata.file_path")) if match is None else match
+    frames = []
+    for files, found in sources:
+        frame = spark.read.schema(found).option("recursiveFileLookup", "true").parquet(*files)
+        if probe:
+            declared = StructType([f for f in found.fields if f.name in schema.names])
+            broken = damaged(spark, files, declared).collect()
+            lost += [(r["path"], r["reason"]) for r in broken]
+            if broken:  # by name: Spark leaves such files out of its scan
+                frame = frame.filter(~F.col("_metadata.file_path").isin([r["file"] for r in broken]))
+        frames.append(conform(frame.withColumn("match_id", match), schema))
     if rejected is not None:
         rejected += lost
-    match = stem(F.col("_metadata.file_path")) if match is None else match
-    frames = [conform(g.withColumn("match_id", match), schema) for g in groups]
     return unite(frames) if frames else spark.createDataFrame([], schema)
 
 
@@ -121,18 +120,20 @@ def new_rows(
 ) -> DataFrame:
     """Source rows that insert-or-ignore would add: the first per key, unless the target has the key.
 
-    A key with a NULL in it equals no other key, so such rows always pass. If the counted source is
-    small, its keys go to the target, so that a large target is scanned but not shuffled.
+    A key with a NULL in it equals no other key, so such rows always pass. The source is read once. If it is counted
+    and small, its keys go to the target as well, so that a large target is scanned but not shuffled.
     """
-    unkeyed = source.filter(~_keyed(key))
-    keyed = keep_first(source.filter(_keyed(key)), list(key), list(order))
+    key = list(key)
+    # Rows without a whole key stay apart by a number of their own, which also spreads them.
+    apart = F.when(_keyed(key), F.lit(-1)).otherwise(F.monotonically_increasing_id())
+    firsts = keep_first(source.withColumn("_apart", apart), [*key, "_apart"], list(order))
     if target is not None:
         taken = target.select(*key)
         if source_rows is not None and source_rows <= BROADCAST_ROWS:
-            taken = taken.join(F.broadcast(keyed.select(*key)), list(key), "left_semi")
+            taken = taken.join(F.broadcast(source.select(*key)), key, "left_semi")
         # Distinct before the shuffle: a key the target repeats very often travels once per task.
-        keyed = keyed.join(taken.distinct(), list(key), "left_anti")
-    return keyed.select(*source.columns).unionByName(unkeyed)
+        firsts = firsts.join(taken.distinct().withColumn("_apart", F.lit(-1).cast("bigint")), [*key, "_apart"], "left_anti")
+    return firsts.select(*source.columns)
 
 
 def merge_ignore(target: DataFrame, source: DataFrame, key: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
@@ -151,16 +152,28 @@ def typed(df: DataFrame, table: str) -> DataFrame:
     return df.select(*[F.col(c).try_cast(declared[c]).alias(c) if c in declared else F.col(c) for c in df.columns])
 
 
-def append(df: DataFrame, root: str, table: str, batch: str | None = None) -> None:
+def key_bucket(key: Sequence[str]) -> Column:
+    """The folder of a row by the first part of its key; -1 without it."""
+    first = F.col(key[0])
+    return F.when(first.isNotNull(), F.pmod(F.xxhash64(first.cast("string")), F.lit(KEY_BUCKETS)).cast("int")).otherwise(-1)
+
+
+def append(df: DataFrame, root: str, table: str, batch: str | None = None, key: Sequence[str] = ()) -> None:
     """Append a frame to a table of the folder, partitioned by load.
 
     The number of files follows the size of the load, not the number of matches: small matches share
     a file and a large one is split. Rows of a match stand together in a file, so its statistics tell
     readers which files to skip. A named batch replaces what an earlier attempt of it has written.
+    With a ``key`` rows are also dealt to folders by its first part and stand in its order, so that a merge reads only
+    the folders, and of their files only the stretches, that its keys may be in.
     """
     labelled = df.withColumn("ingest_batch", F.lit(batch or "bulk"))
-    order = ["ingest_batch"] + [c for c in ("match_id",) if c in df.columns]
-    writer = labelled.hint("rebalance").sortWithinPartitions(*order).write.partitionBy("ingest_batch")
+    folders = ["ingest_batch"]
+    if key:
+        labelled = labelled.withColumn("key_bucket", key_bucket(key))
+        folders.append("key_bucket")
+    order = folders + list(dict.fromkeys([*key, *[c for c in ("match_id",) if c in df.columns]]))
+    writer = labelled.hint("rebalance").sortWithinPartitions(*order).write.partitionBy(*folders)
     if batch:
         writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
@@ -168,14 +181,29 @@ def append(df: DataFrame, root: str, table: str, batch: str | None = None) -> No
     writer.parquet(table_path(root, table))
 
 
-def _stored_as(schema: StructType) -> StructType:
-    """Columns of a stored table with the name of the load, which is text whatever it looks like."""
-    return StructType([*schema.fields, StructField("ingest_batch", StringType())])
+def _stored_as(schema: StructType, table: str = "") -> StructType:
+    """Columns of a stored table with the name of the load, which is text whatever it looks like, and the folder."""
+    folders = [StructField("key_bucket", IntegerType())] if table in UNIQUE_KEYS else []
+    return StructType([*schema.fields, StructField("ingest_batch", StringType()), *folders])
 
 
 def read_table(spark: SparkSession, root: str, table: str) -> DataFrame:
     """A warehouse table in its declared types; empty where it was never written."""
-    return conform(read_bundle(spark, root, table, _stored_as(WAREHOUSE[table])), WAREHOUSE[table])
+    return conform(read_bundle(spark, root, table, _stored_as(WAREHOUSE[table], table)), WAREHOUSE[table])
+
+
+def near_keys(spark: SparkSession, root: str, table: str, source: DataFrame) -> DataFrame:
+    """Keys of the stored table in the folders, and between the least and the greatest key, of the source.
+
+    The folders are a filter on partitions and the ends one on the files' statistics. Files without folders, as an
+    earlier version wrote them, are all read.
+    """
+    key = UNIQUE_KEYS[table]
+    first = F.col(key[0])
+    buckets, low, high = source.filter(_keyed(key)).agg(F.collect_set(key_bucket(key)), F.min(first), F.max(first)).first()
+    kept = read_bundle(spark, root, table, _stored_as(WAREHOUSE[table], table))
+    within = F.col("key_bucket").isNull() | F.col("key_bucket").isin(sorted(buckets))
+    return kept.filter(within & first.between(F.lit(low), F.lit(high)) if buckets else F.lit(False)).select(*key)
 
 
 def record_rejected(spark: SparkSession, root: str, table: str, rejected: Sequence[tuple[str, str]]) -> None:
@@ -217,39 +245,49 @@ def merge_into(
     table: it is computed once and counted before it is merged.
     """
     rows = conform(source, WAREHOUSE[table])
-    if table in UNIQUE_KEYS:
-        count = None
-        if incremental:
-            rows = stored(rows)
-            count = rows.count()
-        key = UNIQUE_KEYS[table]
-        if batch:
-            # Rows without a key are told apart by nothing but the batch that brought them.
-            append(rows.filter(~_keyed(key)), root, table, batch)
-            rows = rows.filter(_keyed(key))
-        append(new_rows(read_table(spark, root, table), rows, key, order, count), root, table)
-    else:
+    if table not in UNIQUE_KEYS:
         append(rows, root, table, batch)
+        return
+    key, count = UNIQUE_KEYS[table], None
+    if incremental:
+        rows = stored(rows)
+        count = rows.count()
+    if batch:
+        # Rows without a key are told apart by nothing but the batch that brought them.
+        append(rows.filter(~_keyed(key)), root, table, batch, key)
+        rows = rows.filter(_keyed(key))
+    # Only now, as the append above may have replaced files.
+    target = near_keys(spark, root, table, rows) if incremental else read_table(spark, root, table)
+    append(new_rows(target, rows, key, order, count), root, table, key=key)
 
 
 def build(spark: SparkSession, matches: str, root: str, batch: str | None = None) -> list[str]:
     """Merge all match folders ``matches/<match>/<table>`` into the warehouse, one scan per table.
 
     Returns the merged tables; those no match has are passed over. Unreadable files are passed over
-    too, and noted (``read_rejected``).
+    too, and noted (``read_rejected``): those without a readable footer at once, those with damaged pages when the
+    merge meets one, which adds nothing; then all files are read to their end and the sound ones are merged.
     """
     merged = []
     for table, schema in WAREHOUSE.items():
         folder = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+)/{table}/", 1)
-        rejected: list[tuple[str, str]] = []
+        path = f"{matches.rstrip('/')}/*/{table}"
+
+        def merge(probe: bool) -> bool:
+            rejected: list[tuple[str, str]] = []
+            rows = read_sources(spark, path, schema, folder, rejected, probe)
+            record_rejected(spark, root, table, rejected)
+            if not probe or rejected:
+                merge_into(spark, root, table, rows, order=("match_id",), batch=batch)
+            return bool(rejected)
+
         try:
-            rows = read_sources(spark, f"{matches.rstrip('/')}/*/{table}", schema, folder, rejected)
-        except PySparkException as e:
-            if e.getCondition() not in ABSENT:
+            merge(False)
+        except READ_ERRORS as e:
+            if isinstance(e, PySparkException) and e.getCondition() in ABSENT:
+                continue
+            if not merge(True):
                 raise
-            continue
-        record_rejected(spark, root, table, rejected)
-        merge_into(spark, root, table, rows, order=("match_id",), batch=batch)
         merged.append(table)
     return merged
 

@@ -11,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..schemas import WAREHOUSE
-from ..sources.warehouse import READ_ERRORS, merge_into, reason, record_rejected, stem
+from ..sources.damage import READ_ERRORS, damaged
+from ..sources.warehouse import merge_into, record_rejected, stem
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -65,11 +66,12 @@ def ingest_stream(
         try:
             take(session, paths, label)
         except READ_ERRORS as e:
-            rejected: list[tuple[str, str]] = []
-            good = readable(session, paths, schema, rejected)
+            rejected = [(r["path"], r["reason"]) for r in damaged(session, paths, schema).collect()]
             if not rejected:
                 raise e
             record_rejected(session, root, table, rejected)
+            broken = {path for path, _ in rejected}
+            good = [p for p in paths if p not in broken]
             if good:
                 take(session, good, label)
 
@@ -78,18 +80,3 @@ def ingest_stream(
         arriving.writeStream.foreachBatch(merge).option("checkpointLocation", place).trigger(availableNow=True).start()
     )
 
-
-def readable(spark: SparkSession, paths: list[str], schema: StructType, rejected: list[tuple[str, str]]) -> list[str]:
-    """The files that can be read to their end; the others are added to ``rejected`` with the reason.
-
-    Groups are halved until they hold no broken file, so one costs as many reads as the logarithm of their number.
-    """
-    try:
-        spark.read.schema(schema).parquet(*paths).write.format("noop").mode("overwrite").save()
-        return paths
-    except READ_ERRORS as e:
-        if len(paths) == 1:
-            rejected.append((paths[0], reason(e)))
-            return []
-    half = len(paths) // 2
-    return readable(spark, paths[:half], schema, rejected) + readable(spark, paths[half:], schema, rejected)

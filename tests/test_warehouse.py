@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from roundscope import session
 from roundscope.schemas import UNIQUE_KEYS, WAREHOUSE
-from roundscope.sources import bundles, feed, warehouse
+from roundscope.sources import bundles, damage, feed, warehouse
 from roundscope.streaming.ingest import ingest_stream
 
 SHOT = "demo_file string, round int, tick int, event_id string, weapon string, extra string"
@@ -249,3 +249,80 @@ def test_stored_tables_use_the_shared_folder(spark, tmp_path):
     assert df.filter("k = 1").count() == 3
     folder = session.shared_folder(spark).removeprefix("file:").rstrip("/")
     assert df.inputFiles() and all(folder in f for f in df.inputFiles())
+
+
+def _damage(path):
+    """Overwrite the pages of a file; its footer stays."""
+    data = bytearray(path.read_bytes())
+    size = int.from_bytes(data[-8:-4], "little")
+    data[4 : len(data) - 8 - size] = b"\xa5" * (len(data) - 12 - size)
+    path.write_bytes(bytes(data))
+    for checksum in path.parent.glob(f".{path.name}.crc"):
+        checksum.unlink()
+
+
+@pytest.mark.parametrize("batch", [None, "one"])
+def test_damaged_pages_do_not_stop_a_build(spark, matches, tmp_path, rows, batch):
+    """A file with a sound footer and broken pages is noted; all others, clashing types among them, are merged."""
+    _write_match(spark, matches, "m 5", [("d", 1, 5, f"b{i}", "ak", "x") for i in range(50)], [("d", 2, "t")])
+    clash = spark.createDataFrame([("d", 1, "7", "e7", "p90", 3)], "demo_file string, round int, tick string, event_id string, weapon string, extra int")
+    clash.coalesce(1).write.parquet(f"{matches}/m6/events_shots")
+    [broken] = (tmp_path / "matches" / "m 5" / "events_shots").glob("*.parquet")
+    _damage(broken)
+    root = str(tmp_path / "wh")
+    for _ in range(2):
+        assert warehouse.build(spark, matches, root, batch) == ["rounds", "events_shots"]
+    shots = warehouse.read_table(spark, root, "events_shots").filter("event_id is not null")
+    assert rows(shots, "match_id", "event_id") == [("m1", "e1"), ("m2", "e2"), ("m6", "e7")]
+    assert warehouse.read_table(spark, root, "rounds").select("match_id").distinct().count() == 2
+    [lost] = warehouse.read_rejected(spark, root).collect()
+    assert lost.path.endswith(broken.name) and lost.table == "events_shots" and "of 50 rows" in lost.reason
+
+
+def test_damaged(spark, tmp_path):
+    frame = spark.range(20_000).selectExpr("id", "cast(id as string) AS name", "array(id) AS more", "map('k', id) AS pairs")
+    frame.repartition(3).write.parquet(str(tmp_path / "t a"))
+    frame.limit(0).coalesce(1).write.parquet(str(tmp_path / "t a" / "none"))
+    (tmp_path / "t a" / "footer.parquet").write_text("broken")
+    files = sorted((tmp_path / "t a").glob("part-*.parquet"))
+    _damage(files[1])
+    found = {os.path.basename(r.path): r.reason for r in damage.damaged(spark, [str(tmp_path / "t a")], frame.schema).collect()}
+    assert set(found) == {files[1].name, "footer.parquet"} and all(found.values())
+    assert bundles.read_bundle(spark, str(tmp_path), "t a", frame.schema, lenient=True).count() == 0
+    files[1].unlink()
+    (tmp_path / "t a" / "footer.parquet").unlink()
+    assert bundles.read_bundle(spark, str(tmp_path), "t a", frame.schema, lenient=True).count() > 0
+
+
+def test_a_merge_reads_only_the_folders_of_its_keys(spark, tmp_path, rows):
+    root = str(tmp_path / "wh")
+    loadouts = lambda matches: spark.createDataFrame(
+        [(m, "d", r, f"s{p}") for m in matches for r in range(3) for p in range(5)], "match_id string, demo_file string, round int, steamid string"
+    )
+    warehouse.merge_into(spark, root, "round_loadouts", loadouts([f"m{i}" for i in range(200)]))
+    stored = warehouse.read_table(spark, root, "round_loadouts")
+    assert stored.count() == 3000
+    batch = loadouts(["m7", "m7", "m500"])
+    near = warehouse.near_keys(spark, root, "round_loadouts", batch)
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(key_bucket" in plan or "key_bucket" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert "GreaterThanOrEqual(match_id,m500)" in plan and "LessThanOrEqual(match_id,m7)" in plan
+    folders = near.select("match_id").distinct().count()
+    touched = batch.select(warehouse.key_bucket(["match_id"])).distinct().count()
+    assert touched <= 2 and 0 < folders < 40
+    warehouse.merge_into(spark, root, "round_loadouts", batch, batch="b1", incremental=True)
+    merged = warehouse.read_table(spark, root, "round_loadouts")
+    assert merged.count() == 3015 and merged.distinct().count() == 3015
+    # A batch without any key is taken as it is.
+    unkeyed = spark.createDataFrame([(None, "d", 1, "s")] * 2, "match_id string, demo_file string, round int, steamid string")
+    for _ in range(2):
+        warehouse.merge_into(spark, root, "round_loadouts", unkeyed, batch="b2", incremental=True)
+    assert warehouse.read_table(spark, root, "round_loadouts").count() == 3017
+
+
+def test_new_rows_reads_its_source_once(spark):
+    target = spark.createDataFrame([("a", 1)], "k string, v int")
+    source = spark.range(100).selectExpr("CASE WHEN id % 3 > 0 THEN concat('k', id % 50) END AS k", "cast(id as int) AS v")
+    plan = warehouse.new_rows(target, source, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (") == 1
+    assert warehouse.new_rows(target, source, ["k"]).filter("k is null").count() == 34
