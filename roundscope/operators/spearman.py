@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import finite
-from ..session import broadcast_within, stored
+from ..session import stored
 from .distribution import ROWS_PER_RANGE, prefix_counts
 
+# A value that more than one in so many entries hold has its ranks broadcast: there are fewer such values than this.
+FREQUENT_SHARE = 1000
+
 
 def _null_classes(df: DataFrame, features: Sequence[str]) -> list[int]:
     """For each feature the first feature that is missing in exactly the same rows."""
@@ -28,32 +31,47 @@ def _null_classes(df: DataFrame, features: Sequence[str]) -> list[int]:
     return leader
 
 
+def ranked_entries(entries: DataFrame, ranks: DataFrame, total: int) -> DataFrame:
+    """Entries (_row, f, value) with the ranks of their value.
+
+    Values that a large share of the entries hold are looked up by broadcast, the others meet in one shuffle, where no
+    value has many rows.
+    """
+    frequent = F.col("_n") > max(1, total // FREQUENT_SHARE)
+    few = F.broadcast(ranks.filter(frequent))
+    often = entries.join(few, ["f", "value"])
+    seldom = entries.join(few.select("f", "value"), ["f", "value"], "left_anti").join(ranks.filter(~frequent), ["f", "value"])
+    return often.unionByName(seldom)
+
+
 def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Rows (f1, f2, rho, n) of the full symmetric matrix; rho is NULL where a feature is constant.
 
     The ranks of a feature depend on the partner only through the rows where the partner is missing,
     so each feature is ranked once per distinct pattern of missing values, not once per pair. Ranks
     are twice the centred average rank: whole numbers whose mean is zero. Sizes and variances follow
-    from the rank table alone; only the products need the rows, each of which looks its ranks up
-    feature by feature. No pair of features ever becomes a row.
+    from the rank table alone; only the products need the rows. Those are taken as entries (row,
+    feature, value): one join gives every entry its ranks, whatever the number of features, and one
+    shuffle brings the entries of a row together. No pair of features ever becomes a row.
     """
     features = list(features)
-    rows = stored(df.select(*[(finite(f) + F.lit(0.0)).alias(f) for f in features]))
+    rows = stored(df.select(F.monotonically_increasing_id().alias("_row"), *[(finite(f) + F.lit(0.0)).alias(f) for f in features]))
     leader = _null_classes(rows, features)
     slot = {m: k for k, m in enumerate(sorted(set(leader)))}
 
-    entries = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).alias("value")) for i, f in enumerate(features)])
+    cells = F.array(*[F.struct(F.lit(i).alias("f"), F.col(f).alias("value")) for i, f in enumerate(features)])
     known = [F.col(features[m]).isNotNull().cast("int").alias(f"_k{k}") for m, k in slot.items()]
-    values = rows.select(*known, F.inline(entries)).filter(F.col("value").isNotNull())
+    values = rows.select(*known, F.inline(cells)).filter(F.col("value").isNotNull())
     names = [f"_n{k}" for k in slot.values()]
-    per_value = values.groupBy("f", "value").agg(*[F.sum(f"_k{k}").alias(f"_n{k}") for k in slot.values()])
+    counts = [F.sum(f"_k{k}").alias(f"_n{k}") for k in slot.values()]
+    per_value = values.groupBy("f", "value").agg(F.count(F.lit(1)).alias("_n"), *counts)
     table = prefix_counts(stored(per_value), "value", ["f"], names, rows_per_range)
     centred = [(2 * F.col(f"{n}_below") + F.col(n) - F.col(f"{n}_total")).cast("double").alias(f"_c{n}") for n in names]
-    ranks = stored(table.select("f", "value", *names, *centred), ["f"])
+    ranks = stored(table.select("f", "value", "_n", *names, *centred))
 
     # One row per feature, so a fixed number of rows comes to the driver.
     spread = ranks.groupBy("f").agg(
-        F.count(F.lit(1)).alias("values"),
+        F.sum("_n").alias("entries"),
         *[F.sum(n).alias(f"n{n}") for n in names],
         *[F.sum(F.col(n) * F.col(f"_c{n}") * F.col(f"_c{n}")).alias(f"v{n}") for n in names],
     )
@@ -62,17 +80,16 @@ def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int
     def partner(j: int) -> str:
         return names[slot[leader[j]]]
 
-    ranked = rows
-    for i, f in enumerate(features):
-        columns = [f"_c{n} AS _r{i}{n}" for n in names]
-        lookup = ranks.filter(F.col("f") == i).selectExpr(f"value AS `{f}`", *columns)
-        count = sizes[i]["values"] if i in sizes else 0
-        ranked = ranked.join(broadcast_within(lookup, count), f, "left")
-
+    entries = rows.select("_row", F.inline(cells)).filter(F.col("value").isNotNull())
+    ranked = ranked_entries(entries, ranks.drop(*names), sum(r["entries"] for r in sizes.values()))
     pairs = list(combinations(range(len(features)), 2))
+    needed = sorted({(i, partner(j)) for i, j in pairs} | {(j, partner(i)) for i, j in pairs})
+    # Dealt by row before they are gathered, so that an entry travels as it is and not as a row of all ranks.
+    wide = ranked.repartition("_row").groupBy("_row").agg(*[F.expr(f"max(_c{n}) FILTER (WHERE f = {i}) AS _r{i}{n}") for i, n in needed])
+
     # A rank is NULL where its feature is, so a product counts only rows where both are known.
     products = [F.expr(f"sum(_r{i}{partner(j)} * _r{j}{partner(i)}) AS _{i}_{j}") for i, j in pairs]
-    sums = ranked.agg(F.count(F.lit(1)), *products)
+    sums = wide.agg(F.count(F.lit(1)), *products)
 
     def cell(i: int, j: int) -> str:
         """One cell of the matrix as SQL text."""
