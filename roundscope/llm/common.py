@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -71,9 +74,26 @@ def bounded_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column
     return found[used <= max_bytes][["text", "label"]].reset_index(drop=True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on from task to task and from query to query."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass  # another C library
+
+
+def given_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The frames of a task; freed memory is returned before and after them."""
+    give_back()
+    yield from batches
+    give_back()
+
+
 def frames_by_bytes(batches: Iterator[pd.DataFrame], limit: int = 8 << 20, column: str = "text") -> Iterator[pd.DataFrame]:
     """Cut frames so that each holds about ``limit`` characters of text at most, or a single row."""
-    for frame in batches:
+    for frame in given_back(batches):
         sizes = frame[column].str.len().to_numpy()
         begin, total = 0, 0
         for i, size in enumerate(sizes):

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roundscope.llm import suffixes
-from roundscope.llm.common import text_rows, type_of
+from roundscope.llm.common import give_back, given_back, text_rows, type_of
 from roundscope.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -103,7 +103,7 @@ def frequent_grams(rows: DataFrame, width: int = WIDTH) -> np.ndarray:
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         values, counts, total = np.empty(0, np.uint64), np.empty(0, np.int64), 0
-        for frame in batches:
+        for frame in given_back(batches):
             for _, data in slabs(frame, width):
                 h = gram_hashes(np.frombuffer(data, dtype=np.uint8))
                 v, n = np.unique(h[h % np.uint64(ANCHORS) == 0], return_counts=True)
@@ -132,7 +132,7 @@ def sections(rows: DataFrame, frequent: np.ndarray, width: int = WIDTH) -> DataF
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
-        for frame in batches:
+        for frame in given_back(batches):
             keys = frame["text_key"].to_numpy()
             for parts, data in slabs(frame, width):
                 raw = np.frombuffer(data, dtype=np.uint8)
@@ -198,6 +198,7 @@ def _run_frame(out: list[tuple]) -> pd.DataFrame:
 
 def _sort_shard(width: int, memory: int):
     def step(frame: pd.DataFrame) -> pd.DataFrame:
+        give_back()
         out = []
         # Scratch of this task alone, removed with it: queue files never outlive or leave the task.
         with tempfile.TemporaryDirectory() as folder:

@@ -22,7 +22,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundscope.llm.common import text_rows, type_of
+from roundscope.llm.common import give_back, given_back, text_rows, type_of
 from roundscope.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -96,7 +96,7 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_i
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words, size = WordIds(shared.value), 4 * capacity  # the words go with the task
-        for frame in batches:
+        for frame in given_back(batches):
             out = []
             for doc_id, text in zip(frame["doc_id"], frame["text"]):
                 ids = words.ids(text) + end
@@ -104,6 +104,8 @@ def pieces(docs: DataFrame, tokenizer_json: str, capacity: int = CAPACITY, end_i
                     part = ids[a : a + size]
                     out.append((doc_id, n, a // 4, len(part) // 4, zlib.crc32(part)))
             yield pd.DataFrame(out, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+        del words
+        give_back()
 
     rows = text_rows(docs, id_col, text_col)
     return rows.mapInPandas(step, f"doc_id {type_of(rows, 'doc_id')}, piece int, start long, length long, ids_crc32 long")

@@ -176,7 +176,10 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", short_line: int = SHORT_LINE, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Rows of documents that are kept, with all columns as they were."""
+    """Rows of documents that are kept, with all columns as they were.
+
+    Null and empty texts go, repeated rows go or stay together; an empty table gives no rows.
+    """
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("q_row")
     rows = docs.select(whole, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("q_text"))
     judged = judged_rows(rows, "q_text", short_line, least_share)

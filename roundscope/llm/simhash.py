@@ -29,7 +29,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundscope.llm.common import checkpointed, frames_by_bytes, text_rows, type_of
+from roundscope.llm.common import checkpointed, frames_by_bytes, given_back, text_rows, type_of
 from roundscope.llm.components import connected_components
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -86,7 +86,7 @@ def _emit(buckets: int):
     masks, ones = flip_masks()
 
     def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
+        for frame in given_back(batches):
             for begin in range(0, len(frame), EMIT_ROWS):
                 prints = frame["simhash"].to_numpy(dtype=np.int64)[begin : begin + EMIT_ROWS].view(np.uint64)
                 odd = np.bitwise_count(prints) % 2 == 1

@@ -23,7 +23,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roundscope.llm.common import bounded_sample, frames_by_bytes, label_counts, text_rows, type_of
+from roundscope.llm.common import bounded_sample, frames_by_bytes, given_back, label_counts, text_rows, type_of
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -252,12 +252,15 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def drop_toxic(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` whose score is below the threshold, with all columns as they were."""
+    """Rows of ``docs`` whose score is below the threshold, with all columns as they were.
+
+    Null and empty texts are scored as one empty window, repeated rows alike; an empty table gives no rows.
+    """
 
     @F.pandas_udf("double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         pair = [compressor(d).compress for d in (model.ordinary, model.toxic)]
-        for part in texts:
+        for part in given_back(texts):
             yield pd.Series(_scores(model, part, pair))
 
     return docs.where(scored(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) < threshold)
