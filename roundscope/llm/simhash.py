@@ -39,7 +39,7 @@ RADIUS = 3
 SHINGLE_WORDS = 3
 SEED = 42
 #: Fingerprints that one emitting step handles, and variants that one meeting step sorts.
-EMIT_ROWS = 4096
+EMIT_ROWS = 1024
 MEET_ROWS = 2_000_000
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
