@@ -84,3 +84,12 @@ def stars(p) -> Column:
 def rejects(p, alpha: float = 0.05) -> Column:
     """Whether the null hypothesis is rejected at ``alpha``."""
     return _d(p) < alpha
+
+
+def independence(a, b, c, d, floor: float | None = None) -> list[Column]:
+    """chi2, its degrees of freedom and the expected counts of a 2×2 table; the last five are NULL where a margin is
+    empty, as such a table cannot be tested. ``floor`` raises small cells for the statistic alone."""
+    expected = expected_cells(a, b, c, d)
+    dof = F.when(expected[0].isNotNull(), F.lit(1)).alias("dof")
+    named = [e.alias(f"expected_{k}") for k, e in zip("abcd", expected)]
+    return [chi2_yates(a, b, c, d, floor).alias("chi2"), dof, *named]
