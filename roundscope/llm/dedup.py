@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roundscope.llm import suffixes
@@ -318,20 +318,32 @@ def _cut(texts: pd.Series, runs: pd.Series, width: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
 
-def cut_documents(docs: DataFrame, text_col: str = "text", width: int = WIDTH, memory: int = suffixes.MEMORY) -> DataFrame:
-    """(row, cut): one row per row of ``docs``; ``row`` has all its columns, ``cut`` has n_bytes, n_removed, n_spans
-    and the bytes that are kept.
+def _remaining(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """What is left of the texts, as text: one pass of one worker."""
+    for texts, runs, width in given_back(batches):
+        kept = _cut(texts, runs, width)["kept"]
+        yield kept.map(lambda data: data.decode("utf-8", errors="ignore")).astype(object)
 
-    Null and empty texts, and texts below the width, lose nothing. Rows with equal texts, whatever their ids, are
-    copies and lose alike. An empty table gives no rows.
-    """
+
+def _with_runs(docs: DataFrame, text_col: str, width: int, memory: int) -> tuple[DataFrame, Column]:
+    """(row, text_key, runs) of every row of ``docs``, and its text, null as empty; ``row`` has all columns of ``docs``."""
     text = F.coalesce(F.col("row")[text_col].cast("string"), F.lit(""))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.withColumn("text_key", F.unhex(F.md5(text.cast("binary"))))
     runs = repeated_windows(rows.select("text_key", text.alias("text")), width, memory).distinct()
     packed = F.shiftleft(F.col("start"), 12).bitwiseOR(F.col("n").cast("long"))
     lists = runs.groupBy("text_key").agg(F.sort_array(F.collect_list(packed)).alias("runs"))
-    joined = rows.join(lists, "text_key", "left")
+    return rows.join(lists, "text_key", "left"), text
+
+
+def cut_documents(docs: DataFrame, text_col: str = "text", width: int = WIDTH, memory: int = suffixes.MEMORY) -> DataFrame:
+    """(row, cut): one row per row of ``docs``; ``row`` has all its columns, ``cut`` has n_bytes, n_removed, n_spans
+    and the bytes that are kept.
+
+    Null and empty texts, and texts below the width, lose nothing. Rows with equal texts, whatever their ids, are
+    copies and lose alike. An empty table gives no rows.
+    """
+    joined, text = _with_runs(docs, text_col, width, memory)
     cut = F.pandas_udf(_cut, CUT)
     return joined.select("row", cut(text, F.col("runs"), F.lit(width)).alias("cut"))
 
@@ -347,10 +359,7 @@ def with_repeats_cut(docs: DataFrame, text_col: str = "text", width: int = WIDTH
 
     A character of which a byte went goes whole. Other columns stay as they are.
     """
-    cut = cut_documents(docs, text_col, width, memory)
-    kept = F.when(F.col("row")[text_col].isNotNull(), F.pandas_udf(_decoded, "string")(F.col("cut.kept")))
-    return cut.select(*[(kept if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
-
-
-def _decoded(kept: pd.Series) -> pd.Series:
-    return kept.map(lambda data: bytes(data).decode("utf-8", errors="ignore"))
+    joined, text = _with_runs(docs, text_col, width, memory)
+    left = joined.select("row", F.pandas_udf(_remaining, "string")(text, F.col("runs"), F.lit(width)).alias("left"))
+    kept = F.when(F.col("row")[text_col].isNotNull(), F.col("left"))
+    return left.select(*[(kept if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])
