@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import number, whole
-from ..session import broadcast_within, stored
+from ..session import broadcast_within, row_bytes, stored
 from .distribution import prefix_counts
 
 # Intervals searched in one array; a key with more gets arrays of arrays.
@@ -17,17 +17,28 @@ ARRAY_LIMIT = 1024
 
 
 class IntervalSize(NamedTuple):
-    """Rows of an interval table and those of its busiest key."""
+    """All rows of an interval table, those of its busiest key that have a start, its keys, and about its bytes."""
 
     rows: int
     busiest: int
+    keys: int
+    bytes: int
 
 
-def measure(intervals: DataFrame, by: Sequence[str], start: str) -> IntervalSize:
-    """Count an interval table: one row comes to the driver and decides how it is searched."""
-    starts = intervals.filter(F.col(start).isNotNull()).groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    top = starts.agg(F.sum("n").alias("rows"), F.max("n").alias("busiest")).first()
-    return IntervalSize(top["rows"] or 0, top["busiest"] or 0)
+def measure(intervals: DataFrame, by: Sequence[str], start: str, columns: Sequence[str] = ()) -> IntervalSize:
+    """Count an interval table: one row comes to the driver and decides how it is searched.
+
+    Rows without a start count too, as they are joined to events that have a round. The bytes are those of the key, the
+    start and the further ``columns``.
+    """
+    width = row_bytes(intervals, [*by, start, *columns])
+    per_key = intervals.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col(start).isNotNull()).alias("starts"), F.sum(width).alias("bytes")
+    )
+    top = per_key.agg(
+        F.sum("n").alias("rows"), F.max("starts").alias("busiest"), F.count(F.lit(1)).alias("keys"), F.sum("bytes").alias("bytes")
+    ).first()
+    return IntervalSize(top["rows"] or 0, top["busiest"] or 0, top["keys"], top["bytes"] or 0)
 
 
 def asof_backward(
@@ -54,7 +65,7 @@ def asof_backward(
     if array_limit < 2:
         raise ValueError("a block holds at least two intervals")
     by, payload = list(by), list(payload)
-    size = size or measure(intervals, by, start)
+    size = size or measure(intervals, by, start, [*payload, *([end] if end else [])])
     bounds = [F.col(start).alias("_from"), *payload, (F.col(end) if end else F.lit(None)).alias("_to")]
     spans = (
         intervals.select(*by, *bounds)
@@ -85,12 +96,13 @@ def _last_started(
         spans = ranked.withColumn(block, F.floor(F.col("_one_below") / limit)).select(*by, block, "_from", "_hit")
         blocks = spans.groupBy(*by, block).agg(F.min("_from").alias("_from"))
         blocks = blocks.select(*by, "_from", F.struct("_from", block).alias("_hit"))
-        fewer = IntervalSize(-(-size.rows // limit), -(-size.busiest // limit))
+        # A key's last block need not be full.
+        fewer = IntervalSize(size.rows // limit + size.keys, -(-size.busiest // limit), size.keys, size.bytes)
         timed = _last_started(timed, blocks, by, fewer, limit, ["_from", block], level + 1).drop("_from")
         keys = [*by, block]
     arrays = spans.groupBy(*keys).agg(F.array_sort(F.collect_list("_hit")).alias("_spans"))
     arrays = arrays.withColumn("_starts", F.col("_spans._from"))
-    found = timed.join(broadcast_within(arrays, size.rows), keys, "left")
+    found = timed.join(broadcast_within(arrays, size), keys, "left")
     # Halving steps over the sorted array: the count of spans known to start in time grows by a step
     # where the span it would reach does; past the end of the array the comparison is NULL.
     steps = F.array(*[F.lit(2**k) for k in reversed(range(min(size.busiest, limit).bit_length()))])
@@ -129,7 +141,7 @@ def relative_time(
     """
     begin = rounds.select(*by, F.col(start).alias("_start"))
     if size:
-        begin = broadcast_within(begin, size.rows)
+        begin = broadcast_within(begin, size)
     rate = F.col(tickrate) if isinstance(tickrate, str) else F.lit(float(tickrate))
     return (
         events.join(begin, list(by), "left")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import differs
-from ..session import broadcast_within, stored
+from ..session import broadcast_within, measured, stored
 from .columns import null_safe_join
 
 
@@ -63,8 +63,8 @@ def next_opposite(df: DataFrame, keys: Sequence[str], order: str, side: str) ->
         F.min(F.when(other & (F.col("_first") > F.col("t0")), F.col("_first"))).alias("t1"),
     )
     tied = with_first.filter(other & (F.col("_first") == F.col("t0"))).select(*keys, side, F.col("t0").alias("_t0"))
-    ties = tied.count()
-    if not ties:
+    ties = measured(tied)
+    if not ties.rows:
         return firsts
     after_tie = (
         null_safe_join(known, broadcast_within(tied, ties), [*keys, side], "inner")

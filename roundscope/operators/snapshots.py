@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import number, whole
-from ..session import broadcast_within
+from ..session import Size, broadcast_within
 
 
 def _known(c: str, order: Sequence[str]) -> Column:
@@ -58,16 +58,16 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) ->
 
 def snapshot_after(
     ticks: DataFrame, rounds: DataFrame, by: Sequence[str], tick: str = "tick", freeze_end: str = "freeze_end",
-    strict: bool = False, round_rows: int | None = None,
+    strict: bool = False, size=None,
 ) -> DataFrame:
     """Rows at or after the end of the freeze time of their round.
 
-    A round without that time passes all its rows, or none when ``strict``. ``round_rows`` is the
-    counted number of rounds, which decides whether they may be broadcast to the far larger ticks.
+    A round without that time passes all its rows, or none when ``strict``. ``size`` has the counted rows and
+    bytes of the rounds, which decide whether they may be broadcast to the far larger ticks.
     """
     begin = rounds.select(*by, F.col(freeze_end).try_cast("double").alias("_freeze"))
-    if round_rows is not None:
-        begin = broadcast_within(begin, round_rows)
+    if size is not None:
+        begin = broadcast_within(begin, size)
     joined = ticks.join(begin, list(by), "inner" if strict else "left")
     after = F.col(tick).try_cast("double") >= F.col("_freeze")
     return joined.filter(after if strict else after | F.col("_freeze").isNull()).drop("_freeze")
@@ -92,7 +92,7 @@ TRAJECTORY_NAMES: dict[str, list[str]] = {
 
 
 def trajectory_summary(
-    df: DataFrame, scope: Sequence[str] = (), names=TRAJECTORY_NAMES, scope_rows: int | None = None
+    df: DataFrame, scope: Sequence[str] = (), names=TRAJECTORY_NAMES, scope_rows: int | Size | None = None
 ) -> DataFrame:
     """One row per projectile: first and last tick, first and last known position, type, thrower.
 

@@ -13,7 +13,7 @@ from ..operators import columns as cols
 from ..operators.asof import IntervalSize, attach_round, measure, relative_time
 from ..operators.snapshots import TRAJECTORY_NAMES, first_per_group, keep_first, snapshot_after, trajectory_summary
 from ..schemas import K2, WAREHOUSE
-from ..session import broadcast_within, stored
+from ..session import Size, broadcast_within, measured, stored
 from ..sources import warehouse
 from ..sources.bundles import INGEST_TICKRATE, read_bundle
 
@@ -62,12 +62,12 @@ class Scope:
         self.keys = [c for c in K2 if c in header.columns]
         self.header = header
         self._size: IntervalSize | None = None
-        self._sources: int | None = None
+        self._sources: Size | None = None
 
-    def sources(self) -> int:
+    def sources(self) -> Size:
         """The sources counted, once for all tables."""
         if self._sources is None:
-            self._sources = self.header.count()
+            self._sources = measured(cols.keep(self.header, [*self.keys, "map_name", "tickrate"]))
         return self._sources
 
     def _headers(self, column: str) -> DataFrame:
@@ -77,7 +77,8 @@ class Scope:
     def size(self, rounds: DataFrame) -> IntervalSize:
         """The rounds counted, once for all tables."""
         if self._size is None:
-            self._size = measure(rounds, self.keys, "start" if "start" in rounds.columns else "round")
+            start = "start" if "start" in rounds.columns else "round"
+            self._size = measure(rounds, self.keys, start, ["round", "start", "end", "freeze_end"])
         return self._size
 
     def attach(self, events: DataFrame, rounds: DataFrame) -> DataFrame:
@@ -132,7 +133,7 @@ def round_loadouts(ticks: DataFrame, rounds: DataFrame, scope: Scope) -> DataFra
     freeze = "freeze_end" if "freeze_end" in rounds.columns else "start"
     # A repeated round row must not repeat its players' rows.
     begin = keep_first(rounds.select(*by, freeze), by, [freeze])
-    after = snapshot_after(slim, begin, by, "tick", freeze, round_rows=scope.size(rounds).rows)
+    after = snapshot_after(slim, begin, by, "tick", freeze, size=scope.size(rounds))
     first = first_per_group(after, [*by, "steamid"], ["tick"], state)
     live = first.filter(F.col("team_num").isin(list(TEAM_OF_NUMBER)))
     is_array = dict(live.dtypes)["inventory"].startswith("array")

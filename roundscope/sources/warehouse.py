@@ -13,7 +13,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from ..operators.columns import unite
 from ..operators.snapshots import keep_first
 from ..schemas import CATALOG, UNIQUE_KEYS, WAREHOUSE
-from ..session import BROADCAST_ROWS, stored
+from ..session import Size, fits, measured, stored
 from .bundles import read_bundle
 from .damage import READ_ERRORS, damaged, footers, listed_files
 
@@ -116,12 +116,12 @@ def new_rows(
     source: DataFrame,
     key: Sequence[str],
     order: Sequence[str] = (),
-    source_rows: int | None = None,
+    source_size: Size | None = None,
 ) -> DataFrame:
     """Source rows that insert-or-ignore would add: the first per key, unless the target has the key.
 
-    A key with a NULL in it equals no other key, so such rows always pass. The source is read once. If it is counted
-    and small, its keys go to the target as well, so that a large target is scanned but not shuffled.
+    A key with a NULL in it equals no other key, so such rows always pass. The source is read once. If its keys are
+    measured and small, they go to the target as well, so that a large target is scanned but not shuffled.
     """
     key = list(key)
     # Rows without a whole key stay apart by a number of their own, which also spreads them.
@@ -129,7 +129,7 @@ def new_rows(
     firsts = keep_first(source.withColumn("_apart", apart), [*key, "_apart"], list(order))
     if target is not None:
         taken = target.select(*key)
-        if source_rows is not None and source_rows <= BROADCAST_ROWS:
+        if source_size is not None and fits(source_size):
             taken = taken.join(F.broadcast(source.select(*key)), key, "left_semi")
         # Distinct before the shuffle: a key the target repeats very often travels once per task.
         firsts = firsts.join(taken.distinct().withColumn("_apart", F.lit(-1).cast("bigint")), [*key, "_apart"], "left_anti")
@@ -248,17 +248,17 @@ def merge_into(
     if table not in UNIQUE_KEYS:
         append(rows, root, table, batch)
         return
-    key, count = UNIQUE_KEYS[table], None
+    key, size = UNIQUE_KEYS[table], None
     if incremental:
         rows = stored(rows)
-        count = rows.count()
+        size = measured(rows.select(*key))
     if batch:
         # Rows without a key are told apart by nothing but the batch that brought them.
         append(rows.filter(~_keyed(key)), root, table, batch, key)
         rows = rows.filter(_keyed(key))
     # Only now, as the append above may have replaced files.
     target = near_keys(spark, root, table, rows) if incremental else read_table(spark, root, table)
-    append(new_rows(target, rows, key, order, count), root, table, key=key)
+    append(new_rows(target, rows, key, order, size), root, table, key=key)
 
 
 def build(spark: SparkSession, matches: str, root: str, batch: str | None = None) -> list[str]:
