@@ -116,7 +116,7 @@ def new_rows(
     source: DataFrame,
     key: Sequence[str],
     order: Sequence[str] = (),
-    source_size: Size | None = None,
+    source_rows: int | Size | None = None,
 ) -> DataFrame:
     """Source rows that insert-or-ignore would add: the first per key, unless the target has the key.
 
@@ -129,7 +129,7 @@ def new_rows(
     firsts = keep_first(source.withColumn("_apart", apart), [*key, "_apart"], list(order))
     if target is not None:
         taken = target.select(*key)
-        if source_size is not None and fits(source_size):
+        if source_rows is not None and fits(source_rows):
             taken = taken.join(F.broadcast(source.select(*key)), key, "left_semi")
         # Distinct before the shuffle: a key the target repeats very often travels once per task.
         firsts = firsts.join(taken.distinct().withColumn("_apart", F.lit(-1).cast("bigint")), [*key, "_apart"], "left_anti")

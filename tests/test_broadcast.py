@@ -87,10 +87,10 @@ def test_new_rows_with_long_keys(spark, monkeypatch, no_own_broadcast, rows):
     target = spark.createDataFrame([("k" * 50, 1), ("l" * 50, 2)], "k string, v int")
     source = spark.createDataFrame([("k" * 50, 3), ("m" * 50, 4), (None, 5)], "k string, v int")
     size = measured(source.select("k"))
-    small = new_rows(target, source, ["k"], source_size=size)
+    small = new_rows(target, source, ["k"], source_rows=size)
     assert "BroadcastHashJoin" in plan(small)
     monkeypatch.setattr(session, "BROADCAST_BYTES", size.bytes - 1)
-    wide = new_rows(target, source, ["k"], source_size=size)
+    wide = new_rows(target, source, ["k"], source_rows=size)
     assert "BroadcastHashJoin" not in plan(wide)
     assert rows(small) == rows(wide) == [(None, 5), ("m" * 50, 4)]
 
