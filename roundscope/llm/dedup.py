@@ -294,35 +294,41 @@ def repeated_windows(rows: DataFrame, width: int = WIDTH, memory: int = suffixes
     return met.where("copied").select("text_key", "start", "n").union(runs)
 
 
-def _covered(starts: np.ndarray, counts: np.ndarray, size: int, width: int) -> np.ndarray:
-    depth = np.zeros(size + 1, dtype=np.int32)
-    np.add.at(depth, starts, 1)
-    np.add.at(depth, starts + counts + width - 1, -1)
-    return np.cumsum(depth[:-1]) > 0
+CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
 
 
-CUT = "n_bytes long, n_removed long, n_spans long, kept binary"
+def _cut_text(text: str, packed: np.ndarray | None, width: int) -> tuple[int, int, int, bytes]:
+    """Bytes, removed bytes, removed spans and what is left; ``packed`` has the runs in order of their start."""
+    raw = text.encode()
+    if packed is None or not len(packed):
+        return len(raw), 0, 0, raw
+    packed = np.asarray(packed, dtype=np.int64)
+    begin = packed >> 12
+    end = np.maximum.accumulate(begin + (packed & 4095) + width - 1)
+    # Runs that overlap or touch are one span.
+    new = np.r_[True, begin[1:] > end[:-1]]
+    begin, end = begin[new], end[np.r_[new[1:], True]]
+    kept = b"".join([raw[a:b] for a, b in zip([0, *end.tolist()], [*begin.tolist(), len(raw)])])
+    return len(raw), len(raw) - len(kept), len(begin), kept
 
 
 def _cut(texts: pd.Series, runs: pd.Series, width: pd.Series) -> pd.DataFrame:
-    out = []
-    for text, packed, size in zip(texts, runs, width):
-        raw = text.encode()
-        if packed is None or not len(packed):
-            out.append((len(raw), 0, 0, raw))
-            continue
-        packed = np.asarray(packed, dtype=np.int64)
-        gone = _covered(packed >> 12, packed & 4095, len(raw), size)
-        spans = np.count_nonzero(gone[1:] & ~gone[:-1]) + int(gone[0])
-        out.append((len(raw), int(gone.sum()), spans, np.frombuffer(raw, dtype=np.uint8)[~gone].tobytes()))
+    out = [_cut_text(*row) for row in zip(texts, runs, width)]
     return pd.DataFrame(out, columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def _remaining(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-    """What is left of the texts, as text: one pass of one worker."""
-    for texts, runs, width in given_back(batches):
-        kept = _cut(texts, runs, width)["kept"]
-        yield kept.map(lambda data: data.decode("utf-8", errors="ignore")).astype(object)
+    """What is left of the texts, as text: one pass of one worker, which hands on about ``SLAB`` characters at a time."""
+    for frame in given_back(batches):
+        left, size = [], 0
+        for row in zip(*frame):
+            left.append(_cut_text(*row)[3].decode("utf-8", errors="ignore"))
+            size += len(left[-1])
+            if size > SLAB:
+                yield pd.Series(left, dtype=object)
+                left, size = [], 0
+        if left:
+            yield pd.Series(left, dtype=object)
 
 
 def _with_runs(docs: DataFrame, text_col: str, width: int, memory: int) -> tuple[DataFrame, Column]:
