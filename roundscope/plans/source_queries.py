@@ -16,8 +16,12 @@ from .oracle import DEMO, ORACLE, r6
 from .queries import query, rounded
 
 
+# Bytes that are written over at a time.
+BLOCK = 1 << 20
+
+
 def damage(spark: SparkSession, folder: str) -> None:
-    """Overwrite the pages of the Parquet files of a folder; their footers stay."""
+    """Overwrite the pages of the Parquet files of a folder; their footers stay. Only these come to the driver."""
     jvm = spark._jvm
     place = jvm.org.apache.hadoop.fs.Path(folder)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -26,12 +30,17 @@ def damage(spark: SparkSession, folder: str) -> None:
         if not path.getName().endswith(".parquet"):
             continue
         stream = files.open(path)
-        data = bytearray(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
+        stream.seek(status.getLen() - 8)
+        footer = int.from_bytes(stream.readInt().to_bytes(4, "big", signed=True), "little")
+        pages = status.getLen() - 8 - footer
+        stream.seek(pages)
+        tail = bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
         stream.close()
-        pages = len(data) - 8 - int.from_bytes(data[-8:-4], "little")
-        data[4:pages] = b"\xa5" * (pages - 4)
         out = files.create(path, True)
-        out.write(data)
+        out.write(bytearray(b"PAR1"))
+        for at in range(4, pages, BLOCK):
+            out.write(bytearray(b"\xa5" * min(BLOCK, pages - at)))
+        out.write(bytearray(tail))
         out.close()
 
 
@@ -48,11 +57,13 @@ def damaged_build(spark, d):
     root = new_folder(spark, "damaged-build")
     lines = b.table(spark, d, "lineitem")
     for match, flag in (("first", "A"), ("broken", "N"), ("last", "R")):
-        _shots(lines.filter(F.col("l_returnflag") == flag)).coalesce(1).write.parquet(f"{root}/matches/{match}/events_shots")
+        _shots(lines.filter(F.col("l_returnflag") == flag)).write.parquet(f"{root}/matches/{match}/events_shots")
     damage(spark, f"{root}/matches/broken/events_shots")
     warehouse.build(spark, f"{root}/matches", f"{root}/warehouse")
     merged = warehouse.read_table(spark, f"{root}/warehouse", "events_shots").groupBy(F.col("match_id").alias("name"))
-    rejected = warehouse.read_rejected(spark, f"{root}/warehouse").groupBy(F.col("table").alias("name"))
+    # A match may have many files; it is rejected once.
+    match = warehouse.match_folder(F.col("path"), F.col("table"))
+    rejected = warehouse.read_rejected(spark, f"{root}/warehouse").select(F.col("table").alias("name"), match).distinct().groupBy("name")
     counted = F.count(F.lit(1)).alias("n")
     return merged.agg(counted).withColumn("kind", F.lit("merged")).unionByName(rejected.agg(counted).withColumn("kind", F.lit("rejected")))
 

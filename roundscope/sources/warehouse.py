@@ -28,10 +28,17 @@ REJECTED = StructType([StructField(c, StringType()) for c in ("table", "path", "
 
 def stem(path: Column) -> Column:
     """File name without folder and last suffix."""
-    name = F.regexp_extract(path, r"([^/]+)/?$", 1)
+    # Cut at slashes: a pattern for the segment would be tried from every character of a long path, for every row.
+    name = F.substring_index(F.when(F.endswith(path, F.lit("/")), F.substring(path, F.lit(1), F.length(path) - 1)).otherwise(path), "/", -1)
     return F.regexp_replace(name, r"(?<=.)\.[^.]*$", "")
 
 
+def match_folder(path: Column, table: Column) -> Column:
+    """The folder that holds the folder of a table, from the path of a file below; cut at slashes like ``stem``."""
+    above = F.split_part(path, F.concat(F.lit("/"), table, F.lit("/")), F.lit(1))
+    return F.substring_index(above, "/", -1)
+
+
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """The declared columns in their types: undeclared ones go, absent ones are NULL."""
     return df.select(
@@ -270,7 +277,7 @@ def build(spark: SparkSession, matches: str, root: str, batch: str | None = None
     """
     merged = []
     for table, schema in WAREHOUSE.items():
-        folder = F.regexp_extract(F.col("_metadata.file_path"), f"([^/]+)/{table}/", 1)
+        folder = match_folder(F.col("_metadata.file_path"), F.lit(table))
         path = f"{matches.rstrip('/')}/*/{table}"
 
         def merge(probe: bool) -> bool:
