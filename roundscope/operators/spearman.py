@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import finite
-from ..session import stored
+from ..session import BROADCAST_ROWS, stored
 from .distribution import ROWS_PER_RANGE, prefix_counts
 
 # A value that more than one in so many entries hold has its ranks broadcast: there are fewer such values than this.
@@ -44,15 +44,30 @@ def ranked_entries(entries: DataFrame, ranks: DataFrame, total: int) -> DataFram
     return often.unionByName(seldom)
 
 
-def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+def few_valued(distinct: Mapping[int, int], limit: int) -> list[int]:
+    """Features whose rank tables, the smallest first, hold no more values together than every executor may hold."""
+    chosen, held = [], 0
+    for f, n in sorted(distinct.items(), key=lambda item: (item[1], item[0])):
+        held += n
+        if held > limit:
+            break
+        chosen.append(f)
+    return sorted(chosen)
+
+
+def spearman_matrix(
+    df: DataFrame, features: Sequence[str], rows_per_range: int = ROWS_PER_RANGE, broadcast_values: int = BROADCAST_ROWS
+) -> DataFrame:
     """Rows (f1, f2, rho, n) of the full symmetric matrix; rho is NULL where a feature is constant.
 
     The ranks of a feature depend on the partner only through the rows where the partner is missing,
     so each feature is ranked once per distinct pattern of missing values, not once per pair. Ranks
     are twice the centred average rank: whole numbers whose mean is zero. Sizes and variances follow
-    from the rank table alone; only the products need the rows. Those are taken as entries (row,
-    feature, value): one join gives every entry its ranks, whatever the number of features, and one
-    shuffle brings the entries of a row together. No pair of features ever becomes a row.
+    from the rank table alone; only the products need the rows. Features with few distinct values
+    look their ranks up by broadcast, and their rows stay where they are; all such tables together have at
+    most ``broadcast_values`` values. The others are taken as entries (row, feature, value): one join
+    gives every entry its ranks, whatever the number of features, and one shuffle brings the entries
+    of a row together. No pair of features ever becomes a row.
     """
     features = list(features)
     rows = stored(df.select(F.monotonically_increasing_id().alias("_row"), *[(finite(f) + F.lit(0.0)).alias(f) for f in features]))
@@ -72,6 +87,7 @@ def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int
     # One row per feature, so a fixed number of rows comes to the driver.
     spread = ranks.groupBy("f").agg(
         F.sum("_n").alias("entries"),
+        F.count(F.lit(1)).alias("distinct"),
         *[F.sum(n).alias(f"n{n}") for n in names],
         *[F.sum(F.col(n) * F.col(f"_c{n}") * F.col(f"_c{n}")).alias(f"v{n}") for n in names],
     )
@@ -80,12 +96,27 @@ def spearman_matrix(df: DataFrame, features: Sequence[str], rows_per_range: int
     def partner(j: int) -> str:
         return names[slot[leader[j]]]
 
-    entries = rows.select("_row", F.inline(cells)).filter(F.col("value").isNotNull())
-    ranked = ranked_entries(entries, ranks.drop(*names), sum(r["entries"] for r in sizes.values()))
     pairs = list(combinations(range(len(features)), 2))
     needed = sorted({(i, partner(j)) for i, j in pairs} | {(j, partner(i)) for i, j in pairs})
-    # Dealt by row before they are gathered, so that an entry travels as it is and not as a row of all ranks.
-    wide = ranked.repartition("_row").groupBy("_row").agg(*[F.expr(f"max(_c{n}) FILTER (WHERE f = {i}) AS _r{i}{n}") for i, n in needed])
+    few = few_valued({f: r["distinct"] for f, r in sizes.items()}, broadcast_values)
+    many = [i for i in sizes if i not in few]
+    wide = rows
+    for i in few:
+        ranks_of = [F.col(f"_c{n}").alias(f"_r{i}{n}") for k, n in needed if k == i]
+        if ranks_of:
+            wide = wide.join(F.broadcast(ranks.filter(F.col("f") == i).select(F.col("value").alias(features[i]), *ranks_of)), features[i], "left")
+    if many:
+        entries = rows.select("_row", F.inline(cells)).filter(F.col("value").isNotNull() & F.col("f").isin(many))
+        ranked = ranked_entries(entries, ranks.drop(*names), sum(sizes[i]["entries"] for i in many))
+        # Dealt by row before they are gathered, so that an entry travels as it is and not as a row of all ranks.
+        gathered = ranked.repartition("_row").groupBy("_row").agg(
+            *[F.expr(f"max(_c{n}) FILTER (WHERE f = {i}) AS _r{i}{n}") for i, n in needed if i in many]
+        )
+        wide = wide.join(gathered, "_row", "left")
+    # A feature without a value has no ranks.
+    for i, n in needed:
+        if i not in sizes:
+            wide = wide.withColumn(f"_r{i}{n}", F.lit(None).cast("double"))
 
     # A rank is NULL where its feature is, so a product counts only rows where both are known.
     products = [F.expr(f"sum(_r{i}{partner(j)} * _r{j}{partner(i)}) AS _{i}_{j}") for i, j in pairs]

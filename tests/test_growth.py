@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 import glob
+import math
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from roundscope.operators.spearman import few_valued, spearman_matrix
 from roundscope.plans import source_queries
 from roundscope.session import shared_folder
 from roundscope.sources.warehouse import match_folder, stem
@@ -47,3 +51,33 @@ def test_folders_and_stems_of_paths(spark, path, folder, name):
 def test_long_paths_cost_no_pattern(spark):
     plan = spark.range(1).select(match_folder(F.lit("a"), F.lit("t"))).limit(1)
     assert "regexp" not in plan._jdf.queryExecution().analyzed().toString()
+
+
+def test_few_valued_features_fit_the_limit_together():
+    assert few_valued({0: 5, 1: 2, 2: 100, 3: 3}, 10) == [0, 1, 3]
+    assert few_valued({0: 5, 1: 2}, 1) == []
+
+
+@pytest.mark.parametrize("limit", [0, 1, 10, 1_000_000])
+def test_spearman_by_broadcast_and_by_shuffle(spark, limit):
+    rng = np.random.default_rng(3)
+    a = rng.integers(0, 4, 200).astype(float)
+    b = np.where(rng.random(200) < 0.3, np.nan, a + rng.normal(0, 1, 200))
+    c = np.where(rng.random(200) < 0.2, np.nan, rng.integers(0, 5, 200))
+    pdf = pd.DataFrame({"a": a, "b": b, "c": c, "none": np.nan, "const": 1.0})
+    df = spark.createDataFrame(pdf)
+    found = {(r.f1, r.f2): r.rho for r in spearman_matrix(df, list(pdf.columns), broadcast_values=limit).collect()}
+    expected = pdf.corr(method="spearman")
+    assert len(found) == 25
+    for (f, g), rho in found.items():
+        if math.isnan(expected.loc[f, g]):
+            assert rho is None
+        else:
+            assert rho == pytest.approx(expected.loc[f, g], abs=1e-12)
+
+
+def test_rows_of_few_valued_features_are_not_shuffled(spark):
+    df = spark.range(100).select((F.col("id") % 7).alias("x"), (F.col("id") % 5).alias("y"))
+    plan = spearman_matrix(df, ["x", "y"])._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_row" not in plan
+    assert "hashpartitioning(_row" in spearman_matrix(df, ["x", "y"], broadcast_values=0)._jdf.queryExecution().executedPlan().toString()
