@@ -31,7 +31,7 @@ def test_a_short_shared_line_brings_nothing_to_the_sort(spark, monkeypatch):
         return step
 
     monkeypatch.setattr(dedup, "_sort_shard", none)
-    rng = random.Random(11)
+    rng = random.Random(15)  # the line holds a gram of a small hash, which names windows of every text
     line = _prose(rng, 120)
     texts = [_prose(rng, 300) + line + _prose(rng, 300) for _ in range(60)]
     texts += [texts[0], texts[1], "short", ""]  # whole copies need no sort either
