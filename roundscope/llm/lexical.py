@@ -5,7 +5,8 @@
 2. The documents of a block (a range of one task's documents, in the order of their ids) and their terms (the most
    frequent first) span a grid. It is cut into square bands of rows, and each band is a K2-treap: a quadtree whose cells
    hold which quadrants are filled, level by level, and by how much the greatest impact inside falls short of the
-   parent's. Leaves hold occurrences. The blocks are stored; every document and every term is indexed.
+   parent's. Leaves hold occurrences. The blocks are stored, packed, a few to a row group, and unpacked one at a time;
+   every document and every term is indexed.
 3. Document frequencies of the items' terms are summed over the blocks.
 4. In each block, the paths of an item's rows descend together, best first: a range of documents is worth the sum of its
    cells' maxima times the terms' weights, and ranges worth less than the item's last place so far are left alone. Leaves
@@ -26,18 +27,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roundscope.llm.common import frames_by_bytes, text_rows, type_of
+from roundscope.llm.common import frames_by_bytes, given_back, text_rows, type_of
 from roundscope.session import stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOP = 20
 #: Characters of a block of the index; a longer text is a block by itself.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 4_000_000
+#: Bytes of packed blocks that a task gathers before it writes them; readers take as many at once.
+GROUP_BYTES = 8 << 20
 #: Items that one pass over the index takes along, and characters of them.
 ITEMS, ITEM_CHARS = 2_000, 4_000_000
 #: Cells store impacts in these units, rounded up; an impact is below a million, so two bytes hold it.
@@ -190,6 +195,19 @@ class Block:
 # --- the index ------------------------------------------------------------------------------
 
 
+def packed(block: dict) -> dict:
+    """The block with its bytes compressed, so that the JVM holds and copies a quarter of them."""
+    return {k: [zstandard.compress(x, 1) for x in v] if isinstance(v, list) else zstandard.compress(v, 1) for k, v in block.items()}
+
+
+def unpacked(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The stored rows one after the other; no more than one of them is unpacked at a time."""
+    for i in range(batch.num_rows):
+        row = batch.slice(i, 1).to_pylist()[0]
+        ids = {"ids": row.pop("ids")} if "ids" in row else {}
+        yield ids | {k: [zstandard.decompress(x) for x in v] if isinstance(v, list) else zstandard.decompress(v) for k, v in row.items()}
+
+
 def plain(ids: pd.Series) -> list:
     """Ids as Python values; missing ones, which turn whole numbers into floats, as None."""
     if ids.dtype.kind == "f":
@@ -227,23 +245,26 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
             frame = frame.sort_values("doc_id", kind="stable", na_position="last")
             block = build_block(list(frame["text"]), documents, total)
             if block["tf"]:
-                yield pd.DataFrame({"ids": [frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None).tolist()]} | {k: [v] for k, v in block.items()})
+                yield pd.DataFrame({"ids": [frame["doc_id"].astype(object).where(frame["doc_id"].notna(), None).tolist()]} | {k: [v] for k, v in packed(block).items()})
 
     schema = f"ids array<{kind}>, sizes binary, terms binary, dfs binary, bands binary, masks array<binary>, falls array<binary>, tf binary"
-    return Index(stored(rows.mapInPandas(step, schema)), documents, total, kind)
+    # Blocks are few and large: without these options a hundred of them wait in memory before the writer looks at their size.
+    options = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1}
+    return Index(stored(rows.mapInPandas(step, schema), options=options), documents, total, kind)
 
 
 def document_frequencies(index: Index, wanted: set[bytes]) -> dict[bytes, int]:
     """In how many documents each of these terms stands; they are as few as the items' terms."""
     shared = index.blocks.sparkSession.sparkContext.broadcast(wanted)
 
-    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            for words, dfs in zip(frame["terms"], frame["dfs"]):
-                found = [(t, n) for t, n in zip(words.split(b"\n"), np.frombuffer(dfs, dtype="<u4").tolist()) if t in shared.value]
-                yield pd.DataFrame(found, columns=["term", "df"])
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in given_back(batches):
+            kind = batch.schema.field("terms").type
+            for block in unpacked(batch):
+                found = [(t, n) for t, n in zip(block["terms"].split(b"\n"), np.frombuffer(block["dfs"], dtype="<u4").tolist()) if t in shared.value]
+                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], kind), pa.array([n for _, n in found], pa.int64())], ["term", "df"])
 
-    sums = index.blocks.select("terms", "dfs").mapInPandas(step, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    sums = index.blocks.select("terms", "dfs").mapInArrow(step, "term binary, df long").groupBy("term").agg(F.sum("df").alias("df"))
     return {bytes(r["term"]): r["df"] for r in sums.collect()}
 
 
@@ -265,12 +286,14 @@ def _found(index: Index, queries: list[tuple[int, Counter]], weights: dict[bytes
     shared = index.blocks.sparkSession.sparkContext.broadcast((queries, weights))
     documents, total = index.documents, index.total
 
-    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, weights = shared.value
         best: dict[int, list[tuple]] = {}
-        for frame in batches:
-            for stored_block in frame.to_dict("records"):
-                block, ids = Block(stored_block, documents, total), list(stored_block["ids"])
+        kind = None
+        for batch in given_back(batches):
+            kind = batch.schema.field("ids").type.value_type
+            for stored_block in unpacked(batch):
+                block, ids = Block(stored_block, documents, total), stored_block["ids"]
                 row_of = {t: r for r, t in enumerate(stored_block["terms"].split(b"\n")) if t in weights}
                 for item, counts in queries:
                     met = [(row_of[t], n * weights[t]) for t, n in counts.items() if t in row_of]
@@ -282,9 +305,11 @@ def _found(index: Index, queries: list[tuple[int, Counter]], weights: dict[bytes
                     own = own + [(s, ids[p]) for p, s in zip(places.tolist(), scores.tolist())]
                     best[item] = sorted(own, key=lambda x: (-x[0], x[1] is None, 0 if x[1] is None else x[1]))[:top]
         found = [(item, doc_id, score) for item, own in best.items() for score, doc_id in own]
-        yield pd.DataFrame(found, columns=["item", "doc_id", "score"]).astype({"doc_id": object})
+        if found:
+            columns = [pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), kind, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "doc_id", "score"])
 
-    return index.blocks.mapInPandas(step, f"item int, doc_id {index.id_type}, score long")
+    return index.blocks.mapInArrow(step, f"item int, doc_id {index.id_type}, score long")
 
 
 def search(index: Index, items: DataFrame, top: int = TOP, id_col: str = "item_id", text_col: str = "text") -> DataFrame:

@@ -8,6 +8,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from roundscope.llm import lexical
@@ -82,6 +84,31 @@ def test_bounds_hold():
         assert (np.maximum.reduceat(lower, np.flatnonzero(np.r_[True, parent[1:] != parent[:-1]])) == upper).all()
 
 
+def test_few_blocks_in_memory(spark, monkeypatch):
+    """A task writes its blocks in small row groups, however many it has, and they are stored packed."""
+    monkeypatch.setattr(lexical, "BLOCK_CHARS", 20_000)
+    monkeypatch.setattr(lexical, "GROUP_BYTES", 100_000, raising=False)
+    rng = random.Random(4)
+    docs = [(i, " ".join(f"w{min(rng.randint(0, 3000), rng.randint(0, 3000))}" for _ in range(200))) for i in range(1000)]
+    index = lexical.build(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1))
+    (file,) = index.blocks.inputFiles()
+    groups = pq.ParquetFile(file.removeprefix("file://")).metadata
+    groups = [groups.row_group(i) for i in range(groups.num_row_groups)]
+    assert sum(g.num_rows for g in groups) > 40 and len(groups) > 4
+    assert max(g.total_byte_size for g in groups) <= 120_000
+    plain = [lexical.build_block([t for _, t in docs[i : i + 20]], index.documents, index.total) for i in range(0, 1000, 20)]
+    assert sum(g.total_byte_size for g in groups) < 0.6 * sum(len(b"".join([*b.pop("masks"), *b.pop("falls"), *b.values()])) for b in plain)
+
+
+def test_packed_blocks():
+    """Rows come back one by one as they were, missing ids and empty parts too."""
+    blocks = [lexical.build_block(texts, 5, 9) for texts in (["a b a", "b"], ["", "c d", "d"], ["e e e"])]
+    ids = [[3, None], [1, 2, None], [7]]
+    rows = lexical.unpacked(pa.RecordBatch.from_pylist([{"ids": i} | lexical.packed(b) for i, b in zip(ids, blocks)]))
+    assert next(rows) == {"ids": ids[0]} | blocks[0]
+    assert list(rows) == [{"ids": i} | b for i, b in zip(ids[1:], blocks[1:])]
+
+
 def test_slices_of_items(spark, monkeypatch):
     monkeypatch.setattr(lexical, "ITEMS", 2)
     docs = [(i, f"alpha beta{i % 3}") for i in range(30)]
